@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from quire.queries import audit, chunks, classify, discovery, index, metadata, report, search, structure
 
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+Query = Callable[[SparkSession, str], DataFrame]
 
+_MODULES = (discovery, classify, structure, chunks, metadata, index, search, audit, report)
+QUERIES: dict[str, Query] = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+SQL: dict[str, str] = {name: text for module in _MODULES for name, text in module.SQL.items()}
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+flagship = report.chunk_types
