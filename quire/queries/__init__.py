@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.queries import audit, chunks, classify, discovery, index, metadata, report, search, structure
+from quire.queries import audit, chunks, classify, discovery, index, metadata, nested, report, search, structure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (discovery, classify, structure, chunks, metadata, index, search, audit, report)
+_MODULES = (discovery, classify, structure, chunks, metadata, index, search, audit, report, nested)
 QUERIES: dict[str, Query] = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL: dict[str, str] = {name: text for module in _MODULES for name, text in module.SQL.items()}
 
