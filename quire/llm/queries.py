@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import leak, neardup, split, tokenise
+from quire.llm import abuse, leak, neardup, split, tokenise
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,8 +61,28 @@ def p7_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage)}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an abusive, hateful or sexual passage."""
+    return abuse.scores(table(spark, sf_dir, "documents")).where("n_passages > 0 and doc_id is not null").select("doc_id").distinct()
 
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document, by category."""
+    return abuse.scores(table(spark, sf_dir, "documents"))
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged documents per source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    # The source travels with the row, so that no join is needed.
+    keyed = docs.select(F.to_json(F.struct("source")).alias("doc_id"), "text")
+    scored = abuse.scores(keyed).withColumn("source", F.get_json_object("doc_id", "$.source"))
+    return abuse.rates(scored)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage, p8_found, p8_scores, p8_rates)}
+
+_WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
 
 SQL: dict[str, str] = {
@@ -76,4 +96,18 @@ FROM items i JOIN chunk_limits l ON l.item_kind = i.item_kind AND l.item_type =
 WHERE i.text IS NOT NULL AND i.item_id IS NOT NULL
   AND (length(i.text) > l.max_chars
        OR len(list_filter(regexp_split_to_array(i.text, '{_SPACE}'), lambda t: t <> '')) > l.max_tokens)""",
+    "p5_found": f"""
+WITH texts AS (SELECT DISTINCT doc_id, text FROM parsed_documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+words AS (SELECT row_number() OVER () AS t, doc_id, {_WORDS} AS w FROM texts),
+grams AS (SELECT DISTINCT t, doc_id, g FROM (SELECT t, doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM words WHERE len(w) >= 3)),
+sizes AS (SELECT t, count(*) AS n FROM grams GROUP BY t),
+common AS (SELECT a.t AS ta, b.t AS tb, a.doc_id AS da, b.doc_id AS db, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
+SELECT DISTINCT da AS doc_a, db AS doc_b FROM common JOIN sizes x ON x.t = ta JOIN sizes y ON y.t = tb WHERE 5 * c >= 3 * (x.n + y.n - c)""",
+    "p7_found": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+i AS (SELECT item_id, w, least(12, len(w)) AS n FROM (SELECT item_id, {_WORDS.replace('text', 'prompt')} AS w FROM eval_items WHERE prompt IS NOT NULL) WHERE len(w) > 0),
+sought AS (SELECT DISTINCT item_id, n, g FROM (SELECT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k : k + n - 1], ' '))) AS g FROM i)),
+lengths AS (SELECT DISTINCT n FROM i),
+runs AS (SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k : k + n - 1], ' '))) AS g FROM d JOIN lengths ON len(w) >= n)
+SELECT DISTINCT doc_id, item_id FROM runs JOIN sought USING (n, g)""",
 }
