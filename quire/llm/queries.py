@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import abuse, leak, neardup, split, tokenise
+from quire.llm import abuse, leak, neardup, scans, split, tokenise
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of noise by element."""
+    return scans.find_noise(table(spark, sf_dir, "elements"))
+
+
+def p3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean paragraphs of every document."""
+    return scans.clean_paragraphs(table(spark, sf_dir, "elements"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items that the splitting operator cuts."""
     return p4_pieces(spark, sf_dir).select("item_kind", "item_id").distinct()
@@ -80,7 +90,7 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abuse.rates(scored)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage, p8_found, p8_scores, p8_rates)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_paragraphs, p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage, p8_found, p8_scores, p8_rates)}
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
