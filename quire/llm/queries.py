@@ -7,12 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import abuse, leak, neardup, scans, split, tokenise
+from quire.llm import abuse, encoding, leak, neardup, scans, split, tokenise
 from quire.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with wrongly decoded characters."""
+    return encoding.restored(table(spark, sf_dir, "parsed_documents"), "record_id").where("n_spans > 0").select("record_id").distinct()
+
+
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record's text as it was meant, with the encoding pairs it went through."""
+    out = encoding.restored(table(spark, sf_dir, "parsed_documents"), "record_id")
+    return out.withColumn("pairs", F.array_join("pairs", ", "))
+
+
+def p1_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by encoding pair."""
+    out = encoding.restored(table(spark, sf_dir, "parsed_documents"), "record_id")
+    return out.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n_records"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kinds of noise by element."""
     return scans.find_noise(table(spark, sf_dir, "elements"))
@@ -90,7 +107,7 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abuse.rates(scored)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_paragraphs, p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage, p8_found, p8_scores, p8_rates)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_restored, p1_pairs, p3_found, p3_paragraphs, p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage, p8_found, p8_scores, p8_rates)}
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
