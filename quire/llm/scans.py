@@ -17,6 +17,7 @@ Repeated rows count once. Elements of a null doc_id or without element_id are le
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ from quire.session import checkpointed
 
 #: Pages within which a header or a number's neighbour must recur.
 NEAR = 4
+#: Elements before one without a page among which its page is looked for.
+BEFORE = 8
 #: A word misread is at least so many times rarer than the word meant; short words of letters alone need more.
 RARER, RARER_SHORT = 20, 1000
 #: Occurrences from which a word counts as known.
@@ -50,11 +53,12 @@ _DIGITS = str.maketrans("oOlI|¡!sSbBgqzZ@+", "00111115568992247"[:17])
 _HYPHENS = "-‐¬\xad"
 _DIVIDED = re.compile(rf"([^\W\d_]+)([{_HYPHENS}])[ \t]*\n[ \t]*([^\W\d_]+)")
 _UNENDED = re.compile(rf"([^\W\d_]+)([{_HYPHENS}])\s*$")
+_LINE_HYPHEN = re.compile(rf"[{_HYPHENS}][ \t]*\n")
 _TOKEN = re.compile(r"[\w|¡@$+!]*[^\W\d_][\w|¡@$+!]*")
 _COMPOUND = re.compile(r"[^\W\d_]+-[^\W\d_]+")
 _UNSPACED = re.compile("[぀-ヿ㐀-鿿가-힯]+")
 _SPELLED = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){3,}[^\W\d_](?![^\W_])")
-_PAIR = re.compile(r"(?=(?<![^\W_])([^\W\d_]+) ([^\W\d_]+)(?![^\W_]))")
+_SIDE_BY_SIDE = re.compile(r"(?<![^\W_])([^\W\d_]+) ([^\W\d_]+)(?![^\W_])")
 _WORD = re.compile(r"[^\W\d_]+")
 _NUMBER = re.compile(
     r"^(?:(?:page|pág(?:ina)?\.?|pagina|seite|p\.|s\.|стр\.|第)\s*)?(?:[\[(\-–—|·]\s*)?([0-9oOlI|¡!sSbBgqzZ@+]{1,5}|[ivxlcdm1|¡!]{1,9})(?:\s*[\])\-–—|·页])?(?:\s*(?:/|of|von|de|sur|из)\s*[0-9oOlI|¡!sSbBgqzZ@+]{1,5})?$",
@@ -71,13 +75,17 @@ def key(word: str) -> str:
     return out
 
 
+@functools.lru_cache(100_000)
+def _header_word(word: str) -> str:
+    return "" if re.fullmatch(r"[\W\d_]*\d[\W\d_]*", word) else re.sub(r"[\W_]+", "", key(word))
+
+
 def header_key(line: str) -> str | None:
     """The letters of a possible header without numbers, or null for lines too short or too long."""
     line = line.strip()
     if not 6 <= len(line) <= 100 or "\t" in line:
         return None
-    words = (key(w) for w in re.split(r"\s+", line.lower()) if not re.fullmatch(r"[\W\d_]*\d[\W\d_]*", w))
-    letters = re.sub(r"[\W_]+", "", "".join(words))
+    letters = "".join(map(_header_word, line.lower().split()))
     return letters if len(letters) >= 5 else None
 
 
@@ -119,29 +127,37 @@ def _tokens(text: str) -> list[str]:
 
 def _whole(text: str) -> str:
     """Lower case with divided words joined and an unended last word dropped; lines stay lines."""
-    return _UNENDED.sub(" ", _DIVIDED.sub(r"\1\3\n", text.lower()))
+    text = text.lower()
+    if _LINE_HYPHEN.search(text):
+        text = _DIVIDED.sub(r"\1\3\n", text)
+    return _UNENDED.sub(" ", text) if text.rstrip()[-1:] in _HYPHENS and text.strip() else text
 
 
 def word_counts(elements: DataFrame) -> DataFrame:
     """word, n over all elements; compounds with their hyphen count as words of their own, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        # What stands between spaces is counted first and taken apart once for each kind.
+        chunks: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                whole = _whole(text)
-                counts.update(_tokens(whole))
-                if "-" in whole:
-                    counts.update(_COMPOUND.findall(whole))
-            if len(counts) > 200_000:
-                yield _counted(counts)
-                counts = Counter()
-        yield _counted(counts)
+                chunks.update(_whole(text).split())
+            if len(chunks) > 500_000:
+                yield _counted(chunks)
+                chunks = Counter()
+        yield _counted(chunks)
 
     return elements.select("text").where("text is not null").mapInArrow(run, "word string, n bigint").where("word <> ''").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
+def _counted(chunks: Counter) -> pa.RecordBatch:
+    counts: Counter = Counter()
+    for chunk, n in chunks.items():
+        for word in _tokens(chunk):
+            counts[word] += n
+        if "-" in chunk:
+            for word in _COMPOUND.findall(chunk):
+                counts[word] += n
     return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
 
 
@@ -178,6 +194,20 @@ def evidence(elements: DataFrame, misread: frozenset[str] | None, known: frozens
     Of T and P all are given if ``misread`` or ``known`` is null, else only those that can matter.
     """
 
+    class Notes(dict):
+        """What a run of non-space may be part of: 1 a misread word, 2 a torn word, 4 a word spelled out."""
+
+        def __missing__(self, chunk: str) -> int:
+            if len(self) >= 400_000:
+                self.clear()
+            words = _tokens(chunk)
+            torn = [w for w in words if w.isalpha() and (known is None or w not in known)]
+            value = (1 if misread is None and words or misread is not None and not misread.isdisjoint(words) else 0) | (2 if torn else 0)
+            out = self[chunk] = value | (4 if any(len(w) == 1 for w in words) else 0)
+            return out
+
+    notes = Notes()
+
     def of(text: str, kind: str) -> Iterator[tuple]:
         lines = text.split("\n")
         if kind in ("paragraph", "references"):
@@ -187,28 +217,34 @@ def evidence(elements: DataFrame, misread: frozenset[str] | None, known: frozens
                 yield ("N", len(lines) - 1, ",".join(map(str, values)), None, None)
                 if m := _UNENDED.search("\n".join(lines[:-1])):
                     yield ("B", len(lines) - 2, m[1], None, m[2])
-        if any(h in text for h in _HYPHENS):
+        if _LINE_HYPHEN.search(text):
             for m in _DIVIDED.finditer(text):
                 yield ("H", text.count("\n", 0, m.start()), m[1], m[3], m[2])
-            if m := _UNENDED.search(text):
-                yield ("D", text.count("\n", 0, m.start()), m[1], None, m[2])
+        if text.rstrip()[-1:] in _HYPHENS and (m := _UNENDED.search(text)):
+            yield ("D", text.count("\n", 0, m.start()), m[1], None, m[2])
         whole = _whole(text)
-        tokens = _tokens(whole)
-        some = misread is None or not misread.isdisjoint(tokens)
-        weak = known is None or not known.issuperset(tokens)
-        if some or weak:
-            for number, line in enumerate(whole.split("\n")):
-                if some:
-                    for word in _tokens(line):
-                        if misread is None or word in misread:
-                            yield ("T", number, word, None, None)
-                if weak:
-                    for m in _PAIR.finditer(line):
-                        a, b = m[1], m[2]
-                        if known is None or a + b in known and not (a in known and b in known):
-                            yield ("P", number, a, b, None)
-                    for m in _SPELLED.finditer(line):
-                        yield ("S", number, m[0].replace(" ", ""), None, None)
+        flags = set(map(notes.__getitem__, whole.split()))
+        if flags <= {0}:
+            return
+        for number, line in enumerate(whole.split("\n")):
+            chunks = line.split()
+            marks = list(map(notes.__getitem__, chunks))
+            if any(f & 1 for f in marks):
+                for word in _tokens(line):
+                    if misread is None or word in misread:
+                        yield ("T", number, word, None, None)
+            seen = set()
+            for i, f in enumerate(marks):
+                if f & 2:
+                    for at in (i - 1, i):
+                        if at >= 0 and at not in seen:
+                            seen.add(at)
+                            m = _SIDE_BY_SIDE.search(" ".join(chunks[at : at + 2]))
+                            if m and (known is None or m[1] + m[2] in known and not (m[1] in known and m[2] in known)):
+                                yield ("P", number, m[1], m[2], None)
+            if sum(f >> 2 & 1 for f in marks) >= 4:
+                for m in _SPELLED.finditer(line):
+                    yield ("S", number, m[0].replace(" ", ""), None, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,12 +263,19 @@ def evidence(elements: DataFrame, misread: frozenset[str] | None, known: frozens
 
 
 def page_edges(elements: DataFrame) -> DataFrame:
-    """doc_id, ord, page, opens, closes for every element, on its own page or the last one before it."""
-    light = in_blocks(elements.select("doc_id", F.col("ord").cast("int").alias("ord"), "page").where("doc_id is not null and ord is not null"), "doc_id", "ord")
-    placed = scan(light, "doc_id", "ord", lasts={"known": F.when(F.col("page") > 0, F.col("page"))})
-    placed = placed.select("doc_id", "ord", F.coalesce("known", F.lit(1)).alias("page"))
-    ends = placed.groupBy("doc_id", "page").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-    return placed.join(ends, ["doc_id", "page"]).select("doc_id", "ord", "page", (F.col("ord") == F.col("first")).alias("opens"), (F.col("ord") == F.col("last")).alias("closes"))
+    """doc_id, ord, page, opens, closes for the first and last element of every page.
+
+    An element without a page is on that of the nearest of the BEFORE elements before it, else on page 1.
+    """
+    placed = elements.select("doc_id", F.col("ord").cast("int").alias("ord"), "page").where("doc_id is not null and ord is not null")
+    good = placed.where("page > 0")
+    lost = placed.where("page is null or page <= 0").select("doc_id", "ord").distinct()
+    steps = lost.select("doc_id", "ord", F.explode(F.array(*(F.col("ord") - d for d in range(1, BEFORE + 1)))).alias("at"))
+    near = steps.join(good.select("doc_id", F.col("ord").alias("at"), "page"), ["doc_id", "at"]).groupBy("doc_id", "ord").agg(F.max_by("page", "at").alias("page"))
+    rows = good.unionByName(lost.join(near, ["doc_id", "ord"], "left").select("doc_id", "ord", F.coalesce("page", F.lit(1)).alias("page")))
+    ends = rows.groupBy("doc_id", "page").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
+    edge = ends.select("doc_id", "page", F.explode(F.array(F.struct(F.col("first").alias("ord"), F.lit(True).alias("opens")), F.struct(F.col("last").alias("ord"), F.lit(False).alias("opens")))).alias("e"))
+    return edge.groupBy("doc_id", "page", F.col("e.ord").alias("ord")).agg(F.bool_or("e.opens").alias("opens"), F.bool_or(~F.col("e.opens")).alias("closes"))
 
 
 def _recurring(rows: DataFrame, *keys: str) -> DataFrame:
@@ -244,9 +287,10 @@ def _recurring(rows: DataFrame, *keys: str) -> DataFrame:
 
 def edges_found(seen: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Elements that open with a running header, and those that close with a page number: doc_id, element_id, ord, line, n_lines."""
-    opening = seen.where("kind = 'E' and a is not null").join(edges.where("opens"), ["doc_id", "ord"]).select("doc_id", "element_id", "ord", F.col("line").alias("n_lines"), F.col("a").alias("key"), "page")
+    at_edge = checkpointed(seen.where("kind = 'E' and a is not null or kind = 'N'").join(edges, ["doc_id", "ord"]))
+    opening = at_edge.where("kind = 'E' and opens").select("doc_id", "element_id", "ord", F.col("line").alias("n_lines"), F.col("a").alias("key"), "page")
     headers = _recurring(opening, "doc_id", "key").select("doc_id", "element_id", "ord", F.lit(0).alias("line"), "n_lines").distinct()
-    closing = seen.where("kind = 'N'").join(edges.where("closes"), ["doc_id", "ord"]).select("doc_id", "element_id", "ord", "line", "page", F.explode(F.split("a", ",")).alias("value"))
+    closing = at_edge.where("kind = 'N' and closes").select("doc_id", "element_id", "ord", "line", "page", F.explode(F.split("a", ",")).alias("value"))
     closing = closing.withColumn("offset", F.col("value").cast("bigint") - F.col("page"))
     numbers = _recurring(closing, "doc_id", "offset").select("doc_id", "element_id", "ord", "line", (F.col("line") + 1).alias("n_lines")).distinct()
     return headers, numbers
