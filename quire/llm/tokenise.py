@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from pyspark.sql import types as T
 TOKENIZER_DIR = "/opt/tokenizers"
 #: Code points that are encoded at a time, to bound a worker's memory.
 CHARS_AT_A_TIME = 2_000_000
+ROWS_AT_A_TIME = 5_000
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 _ENCODED = T.ArrayType(T.IntegerType(), False)
 _TOKENS = T.ArrayType(
@@ -71,23 +75,50 @@ def tokenizer_path(name: str, folder: str = TOKENIZER_DIR) -> str:
     return name if os.sep in name else f"{folder}/{name}.json"
 
 
-def _runs(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, in lists of at most CHARS_AT_A_TIME code points (or one text)."""
-    run, size = [], 0
-    for text in texts:
-        if run and size + len(text) > CHARS_AT_A_TIME:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+class _Chunks(dict):
+    """Text between single spaces -> its ids as bytes; emptied when full, so a worker's memory stays bounded.
+
+    The vocabulary's pattern never joins what lies on both sides of a space between two other characters, but for
+    that space itself, which goes to the right. Texts are therefore cut there, and each chunk is encoded once.
+    """
+
+    LIMIT = 500_000
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def learn(self, chunks: set[str]) -> None:
+        """Encode the chunks that aren't known, together."""
+        new = [c for c in chunks if c not in self]
+        if len(self) + len(new) > self.LIMIT:
+            self.clear()
+            new = list(chunks)
+        for chunk, encoding in zip(new, _tokenizer(self.path).encode_batch(new, add_special_tokens=False)):
+            self[chunk] = np.array(encoding.ids, np.int32).tobytes()
+
+
+@functools.cache
+def _chunks(path: str) -> _Chunks:
+    return _Chunks(path)
+
+
+def _cut(text: str) -> list[str]:
+    first, *rest = _BETWEEN.split(text)
+    return [first, *(" " + part for part in rest)]
 
 
-def _id_lists(path: str, texts: list[str]) -> Iterator[list[int]]:
-    for run in _runs(texts):
-        for encoding in _tokenizer(path).encode_batch(run, add_special_tokens=False):
-            yield encoding.ids
+def _id_lists(path: str, texts: list[str]) -> Iterator[np.ndarray]:
+    """The ids of each text."""
+    known, at = _chunks(path), 0
+    while at < len(texts):
+        cut, size = [], 0
+        while at < len(texts) and (not cut or size + len(texts[at]) <= CHARS_AT_A_TIME):
+            cut.append(_cut(texts[at]))
+            size += len(texts[at])
+            at += 1
+        known.learn({chunk for chunks in cut for chunk in chunks})
+        for chunks in cut:
+            yield np.frombuffer(b"".join(map(known.__getitem__, chunks)), np.int32)
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR) -> DataFrame:
@@ -97,8 +128,12 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = list(_id_lists(path, [t or "" for t in batch.column(1).to_pylist()]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
+            for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
+                part = batch.slice(at, ROWS_AT_A_TIME)
+                ids = list(_id_lists(path, [t or "" for t in part.column(1).to_pylist()]))
+                offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], [id_col, "ids"])
 
     schema = T.StructType([source.schema[0], T.StructField("ids", _ENCODED, False)])
     return source.mapInArrow(run, schema)
@@ -127,7 +162,7 @@ def encode_with_offsets(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         kind = to_arrow_type(_TOKENS)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            tokens = [spans(t, ids) for t, ids in zip(texts, _id_lists(path, texts))]
+            tokens = [spans(t, ids.tolist()) for t, ids in zip(texts, _id_lists(path, texts))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, kind)], [id_col, "tokens"])
 
     schema = T.StructType([source.schema[0], T.StructField("tokens", _TOKENS, False)])
