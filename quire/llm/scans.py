@@ -388,7 +388,7 @@ def repaired(text: str, element_type: str | None, fixes: list[dict]) -> str:
         lines = lines[1:]
     text = "\n".join(lines)
     divided = {(f["a"], f["b"]) for f in by.get("hyphen", [])}
-    text = _DIVIDED.sub(lambda m: m[1] + ("" if (m[1], m[3]) in divided else "-") + m[3] + "\n", text)
+    text = _DIVIDED.sub(lambda m: m[1] + ("" if (m[1], m[3]) in divided else "-") + m[3], text)
     if "unended" in by:
         text = _UNENDED.sub(r"\1", text)
     words = {f["a"]: f["meant"] for f in by.get("misread", []) if not f["b"] and f["a"] != f["meant"]}
