@@ -33,9 +33,11 @@ def is_equation(text: Column) -> Column:
 def is_table(text: Column) -> Column:
     """A line with two bars, two lines with a bar, or a line with a tab."""
     rows = F.filter(F.split(text, LINE_END), lambda line: strip(line) != "")
-    return F.exists(rows, lambda line: (count_of(strip(line), "|") >= 2) | F.contains(strip(line), F.lit("\t"))) | (
+    several = F.exists(rows, lambda line: (count_of(strip(line), "|") >= 2) | F.contains(strip(line), F.lit("\t"))) | (
         F.size(F.filter(rows, lambda line: F.contains(line, F.lit("|")))) >= 2
     )
+    # Most texts have neither sign and are not taken apart.
+    return (F.contains(text, F.lit("|")) | F.contains(text, F.lit("\t"))) & several
 
 
 def classify(text: Column, in_references: Column) -> Column:

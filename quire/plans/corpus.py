@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.text import strip
 from quire.operators.elements import element_type, kept_items, merge_adjacent, with_sections
 from quire.operators.nodes import child_nodes, parent_nodes
-from quire.session import table
+from quire.session import checkpointed, table
 
 #: Chunking of the default configuration.
 CHUNK_SIZE, CHUNK_OVERLAP = 800, 120
@@ -65,13 +65,13 @@ def merged_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nodes(spark: SparkSession, sf_dir: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Merged elements, parents and children."""
-    merged = merged_elements(spark, sf_dir)
-    parents = parent_nodes(merged)
+    """Merged elements, parents and children; the first two are written once, as all that follows is built from them."""
+    merged = checkpointed(merged_elements(spark, sf_dir))
+    parents = checkpointed(parent_nodes(merged))
     return merged, parents, child_nodes(merged, parents, size, overlap)
 
 
 def latest_texts(parsed: DataFrame) -> DataFrame:
-    """doc_id and text of the latest export of each document."""
-    order = Window.partitionBy("doc_id").orderBy(F.desc_nulls_last("exported_at"), F.desc("record_id"))
-    return parsed.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    """doc_id, text and metadata of the latest export of each document; of equal times the greatest record_id."""
+    rank = F.struct(F.coalesce("exported_at", F.lit("0001-01-01").cast("timestamp")), "record_id")
+    return parsed.groupBy("doc_id").agg(F.max_by(F.struct("text", "metadata"), rank).alias("r")).select("doc_id", "r.*")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quire.operators import nodes
 from quire.plans import corpus
 from quire.queries.sqltext import PARENTS, SPECIAL, windows
-from quire.session import table
+from quire.session import checkpointed, table
 
 
 def _windows(spark: SparkSession, sf_dir: str, size: int, overlap: int) -> DataFrame:
@@ -28,7 +28,7 @@ def token_windows_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def special_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of tables and figures."""
-    merged = corpus.merged_elements(spark, sf_dir)
+    merged = checkpointed(corpus.merged_elements(spark, sf_dir))
     special = nodes.special_children(merged, nodes.parent_nodes(merged))
     return special.select("doc_id", "parent_id", "child_id", "chunk_type", F.array_join("section_path", " > ").alias("section_path"), "page_start", "page_end", "text")
 
@@ -40,16 +40,13 @@ def child_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their elements, parents and chunks nested, told by sizes and first ids."""
+    """What each nested document holds, by sizes and ids; counted, so that no document is brought into one row."""
     merged, parents, children = corpus.nodes(spark, sf_dir)
-    elements = merged.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("ord", "element_id", "element_type", "page"))).alias("elements"))
-    tops = parents.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("parent_index", "parent_id", "section"))).alias("parent_nodes"))
-    leaves = children.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("child_id", "parent_id", "chunk_type"))).alias("child_nodes"))
+    elements = merged.groupBy("doc_id").agg(F.count("*").alias("n_elements"), F.min_by("element_id", "ord").alias("first_element"))
+    tops = parents.groupBy("doc_id").agg(F.count("*").alias("n_parents"), F.max_by("parent_id", "parent_index").alias("last_parent"))
+    leaves = children.groupBy("doc_id").agg(F.count("*").alias("n_children"))
     nested = elements.join(tops, "doc_id", "left").join(leaves, "doc_id", "left")
-    return nested.select(
-        "doc_id", F.size("elements").alias("n_elements"), F.size("parent_nodes").alias("n_parents"), F.size(F.coalesce("child_nodes", F.array())).alias("n_children"),
-        F.col("elements")[0]["element_id"].alias("first_element"), F.element_at("parent_nodes", -1)["parent_id"].alias("last_parent"),
-    )
+    return nested.select("doc_id", "n_elements", "n_parents", F.coalesce("n_children", F.lit(0)).alias("n_children"), "first_element", "last_parent")
 
 
 QUERIES = {f.__name__: f for f in (token_windows, token_windows_default, special_children, child_nodes, nested_documents)}

@@ -9,7 +9,7 @@ from quire.operators import elements as el
 from quire.operators import nodes
 from quire.plans.corpus import classified_items, merged_elements
 from quire.queries.sqltext import LINE_END, MERGED, PARENTS, SECTIONED, SPACE, SPECIAL, strip
-from quire.session import table
+from quire.session import checkpointed, table
 
 
 def _flat(rows) -> F.Column:
@@ -51,7 +51,7 @@ def parent_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parent_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parent of every table and figure."""
-    merged = merged_elements(spark, sf_dir)
+    merged = checkpointed(merged_elements(spark, sf_dir))
     return nodes.parent_lookup(merged, nodes.parent_nodes(merged)).select("doc_id", "element_id", "parent_id")
 
 
