@@ -8,7 +8,7 @@ between classes of neighbours are counted over the whole corpus, then counted ag
 Entering a garbled state is unlikely and leaving it is too, so single odd characters stay clean and labels form spans. The best
 labelling (Viterbi) marks the spans; each gets its state's inverse transform.
 
-A replacement character (U+FFFD) is always the trace of a wrong decoding; its own state says so. Inside a
+A replacement character (U+FFFD) or a C1 control is always the trace of a wrong decoding; where no pair explains it, a state of its own says so. Inside a
 longer garbled character the byte that it stands for is guessed by what the corpus knows, else it stays.
 
 Defined results. Null, empty and pure ASCII texts are clean and given back as they are. Repeated rows are labelled alike.
@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LOST = "�"
+#: Traces of a wrong decoding by themselves: U+FFFD, and the C1 controls but for the line end among them.
+_TRACE = re.compile("[�\x80-\x84\x86-\x9f]")
 CLEAN = "clean"
 #: Log probabilities: entering any garbled state, staying in it, leaving it.
 ENTER, STAY, LEAVE = -7.0, -0.1, -2.0
@@ -40,8 +42,9 @@ CAPITALS = 0.1
 #: Log probability of U+FFFD in the state of lost characters.
 LOST_EMISSION = -6.0
 
-RUN = re.compile(r"[^\x00-\x7f]+")
-#: Classes: 0 space, 1 small, 2 capital, 3 digit, 4 ASCII sign, 5 small Cyrillic, 6 capital Cyrillic, 7 Greek, 8 East Asian, 9 typographic, 10 symbol, 11 control.
+#: Runs of non-ASCII characters; of white space only the no-break space, which several encodings give for other bytes.
+RUN = re.compile(r"[^\x00-\x7f\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: Classes: 0 space, 1 small, 2 capital, 3 digit, 4 ASCII sign, 5 small Cyrillic, 6 capital Cyrillic, 7 Greek, 8 East Asian, 9 typographic, 10 symbol, 11 control, 12 box drawing.
 _SMALL = {2: 1, 6: 5}
 
 
@@ -56,6 +59,10 @@ def char_class(c: str) -> int:
     kind = unicodedata.category(c)
     if kind[0] == "C" or c == LOST:
         return 11
+    if c in "·¶§":
+        return 10
+    if 0x2500 <= code < 0x25A0:
+        return 12
     if kind[0] in "LM":
         if 0x400 <= code < 0x530:
             return 6 if kind == "Lu" else 5
@@ -90,21 +97,25 @@ def prior(c: str) -> float:
 
 
 _SCRIPT = {1: 0, 2: 0, 5: 1, 6: 1, 7: 2}
+_TEXT = (1, 2, 3, 5, 6, 7)
 
 
 @functools.cache
 def fit(own: int, left: int, right: int) -> float:
     """How far counts of a class between two others are trusted: they may stem from garbled text themselves.
 
-    Inside a word scripts hardly mix, capitals hardly follow small letters and symbols hardly stand.
+    Inside a word and at its end scripts hardly mix, capitals hardly follow small letters and symbols hardly stand.
     """
-    if left not in _SCRIPT or right not in _SCRIPT:
-        return 0.1 if (own, left) in ((2, 1), (6, 5)) else 1.0
-    if own in (10, 11):
-        return 0.001
-    if own in _SCRIPT and _SCRIPT[own] not in (_SCRIPT[left], _SCRIPT[right]):
+    if own == 12 and (left in _TEXT or right in _TEXT):
         return 0.0001
-    return 0.01 if (own, left) in ((2, 1), (6, 5)) else 1.0
+    if left not in _SCRIPT:
+        return 1.0
+    inside = right in _SCRIPT
+    if own in (10, 11):
+        return 0.001 if inside else 0.01
+    if own in _SCRIPT and _SCRIPT[own] != _SCRIPT[left] and (not inside or _SCRIPT[own] != _SCRIPT[right]):
+        return 0.0001 if inside else 0.01
+    return 0.01 if (own, left) in ((2, 1), (6, 5)) or (own, left, right) in ((2, 2, 1), (6, 6, 5)) else 1.0
 
 
 # Inverse transforms
@@ -220,7 +231,8 @@ def from_single(run: str, written_in: str, read_as: str) -> str:
     out = []
     for b, c in _bytes(run, read_as):
         try:
-            out.append(bytes([b]).decode(written_in) if b is not None and b >= 0 else c)
+            # An inverted exclamation mark inside a word is a misread i far more often than this.
+            out.append(bytes([b]).decode(written_in) if b is not None and b >= 0 and c != "¡" else c)
         except UnicodeDecodeError:
             out.append(c)
     return "".join(out)
@@ -261,6 +273,7 @@ class Model:
         for (c, left, right), n in counts.items():
             self.totals[left] += n
             self.single[c] += n
+        self.total = sum(self.single.values())
         self.known: dict[tuple[str, str, str], tuple[float, list[tuple[float, int, str]]]] = {}
 
     def log(self, c: str, left: int, right: int) -> float:
@@ -269,8 +282,10 @@ class Model:
         A capital among capitals is at least CAPITALS times as likely as its small form among small letters. A lost
         character has no likelihood as clean text, however often it occurs.
         """
-        if c == LOST:
+        if _TRACE.match(c):
             return NEVER
+        if c == "\xa0":
+            return math.log((self.single[c] + PRIOR * prior(c)) / (self.total + PRIOR))
         value = fit(char_class(c), left, right) * (self.counts.get((c, left, right), 0) + PRIOR * prior(c)) / (self.totals[left] + PRIOR)
         if 2 in (left, right) or 6 in (left, right):
             small = c.lower()
@@ -296,8 +311,8 @@ class Model:
             restored = invert(run, pair, likely)
             if restored != run:
                 states[f"{number}"] = (self.string(restored, left, right), number, restored)
-        if LOST in run:
-            states["lost"] = (self.string(run.replace(LOST, ""), left, right) + LOST_EMISSION * run.count(LOST), len(PAIRS), run)
+        if n := len(_TRACE.findall(run)):
+            states["lost"] = (self.string(_TRACE.sub("", run), left, right) + LOST_EMISSION * n, len(PAIRS), run)
         out = (clean, [s for s in states.values() if s[0] > clean])
         if len(self.known) >= self.LIMIT:
             self.known.clear()
