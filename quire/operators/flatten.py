@@ -45,6 +45,7 @@ _NODE = T.StructType(
         T.StructField("position", T.IntegerType()),
         T.StructField("map_key", T.StringType()),
         T.StructField("fields", T.MapType(T.StringType(), T.StringType()), False),
+        T.StructField("ancestors", T.MapType(T.StringType(), T.IntegerType()), False),
     ]
 )
 
@@ -140,15 +141,16 @@ class _Shredder:
     def __init__(self, relations: frozenset[str]) -> None:
         self.relations, self.rows = relations, []
 
-    def instance(self, value, relation: str, parent: tuple[str | None, int | None], position: int | None, map_key: str | None) -> None:
+    def instance(self, value, relation: str, above: dict[str, int], parent: tuple[str | None, int | None], position: int | None, map_key: str | None) -> None:
+        """One instance and all below it; ``above`` has the nearest instance of each table around it."""
         node, fields = len(self.rows), {}
-        self.rows.append((relation, node, *parent, position, map_key, fields))
+        self.rows.append((relation, node, *parent, position, map_key, list(above.items()), fields))
         if isinstance(value, dict):
-            self.inline(value, "", fields, (relation, node))
+            self.inline(value, "", fields, (relation, node), above | {relation: node})
         else:
             fields["value"] = _scalar(value)
 
-    def inline(self, value: dict, prefix: str, fields: dict, own: tuple[str, int]) -> None:
+    def inline(self, value: dict, prefix: str, fields: dict, own: tuple[str, int], above: dict[str, int]) -> None:
         for key, inner in value.items():
             inner = _opened(inner)
             if key in self.relations and isinstance(inner, (dict, list)):
@@ -157,15 +159,15 @@ class _Shredder:
                     entries = [(0, None, inner)] if isinstance(inner, dict) else []
                 for position, map_key, entry in entries:
                     if isinstance(entry, (dict, list)):
-                        self.instance(entry, key, own, position, map_key)
+                        self.instance(entry, key, above, own, position, map_key)
             elif isinstance(inner, dict):
-                self.inline(inner, f"{prefix}{key}.", fields, own)
+                self.inline(inner, f"{prefix}{key}.", fields, own, above)
             else:
                 fields[prefix + key] = _scalar(inner)
 
 
 def shred(lines: DataFrame, inlining: Inlining, key_col: str = "line_no", line_col: str = "line") -> DataFrame:
-    """All rows of all tables: record, relation, node, parent_relation, parent_node, position, map_key, fields."""
+    """All rows of all tables: record, relation, node, parent_relation, parent_node, position, map_key, fields, ancestors (nearest of each table)."""
     relations = inlining.relations
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +181,8 @@ def shred(lines: DataFrame, inlining: Inlining, key_col: str = "line_no", line_c
                 for key, line in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     if (record := _record(line)) is not None:
                         shredder = _Shredder(relations)
-                        shredder.instance(record, ROOT, (None, None), None, None)
-                        rows += [(key, *row[:-1], list(row[-1].items())) for row in shredder.rows]
+                        shredder.instance(record, ROOT, {}, (None, None), None, None)
+                        rows += [(key, *row[:-2], list(row[-1].items()), row[-2]) for row in shredder.rows]
                 columns = [list(c) for c in zip(*rows)] or [[] for _ in kinds]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], _NODE.names)
 
@@ -216,20 +218,21 @@ def document_tables(nodes: DataFrame) -> dict[str, DataFrame]:
             page=field("page").try_cast("int"), ord=field("order", "ord").try_cast("int"), section_path=field("section_path"),
         ).where("coalesce(element_id, '') <> ''")
     )
-    owner = elements.select("record", F.col("node").alias("parent_node"), F.col("element_id").alias("link_id"))
+    # Boxes and rows belong to the nearest element, children to the nearest parent, whatever lies between.
+    owner = elements.select("record", F.col("node").alias("owner"), F.col("element_id").alias("link_id"))
     numbered = F.concat(F.col("link_id"), F.lit("#"), F.col("position"))
     edges = {name: field(*names).try_cast("double") for name, names in EDGES.items()}
-    boxes = relation(nodes, "bboxes", page=field("page").try_cast("int"), origin=field("origin"), **edges).where("parent_relation = 'elements' and l is not null and t is not null and r is not null and b is not null")
-    rows = nodes.where(F.col("relation").isin("rows", "table_rows") & (F.col("parent_relation") == "elements")).select(*keys, "parent_node", "position", F.col("fields")["value"].alias("cells"))
+    boxes = relation(nodes, "bboxes", owner=F.col("ancestors")["elements"], page=field("page").try_cast("int"), origin=field("origin"), **edges).where("l is not null and t is not null and r is not null and b is not null")
+    rows = nodes.where(F.col("relation").isin("rows", "table_rows") & F.col("ancestors")["child_nodes"].isNull()).select(*keys, F.col("ancestors")["elements"].alias("owner"), "parent_node", "position", F.col("fields")["value"].alias("cells"))
     parents = relation(nodes, "parent_nodes", parent_id=field("parent_id"), text=field("text"), section=field("metadata.section")).where("coalesce(parent_id, '') <> ''")
-    holder = parents.select("record", F.col("node").alias("parent_node"), F.lit("parent_nodes").alias("parent_relation"), F.col("parent_id").alias("holder_id"))
-    children = relation(nodes, "child_nodes", child_id=field("child_id"), named=field("parent_id"), chunk_type=field("chunk_type"), text=field("text")).where("coalesce(child_id, '') <> ''")
-    linked = children.join(holder, ["record", "parent_node", "parent_relation"], "left").withColumn("link_id", F.coalesce(F.nullif("named", F.lit("")), "holder_id", F.lit("")))
+    holder = parents.select("record", F.col("node").alias("owner"), F.col("parent_id").alias("holder_id"))
+    children = relation(nodes, "child_nodes", owner=F.col("ancestors")["parent_nodes"], child_id=field("child_id"), named=field("parent_id"), chunk_type=field("chunk_type"), text=field("text")).where("coalesce(child_id, '') <> ''")
+    linked = children.join(holder, ["record", "owner"], "left").withColumn("link_id", F.coalesce(F.nullif("named", F.lit("")), "holder_id", F.lit("")))
     return {
         "records": records,
         "elements": elements.join(of_record, "record"),
-        "boxes": boxes.join(owner, ["record", "parent_node"]).withColumn("box_id", numbered),
-        "rows": rows.join(owner, ["record", "parent_node"]).withColumn("row_id", numbered),
+        "boxes": boxes.join(owner, ["record", "owner"]).withColumn("box_id", numbered),
+        "rows": rows.join(owner, ["record", "owner"]).withColumn("row_id", numbered),
         "parents": parents.join(of_record, "record"),
         "children": linked.drop("named", "holder_id"),
     }

@@ -7,7 +7,7 @@ steps of one token. Nodes are built from the output of :func:`quire.operators.el
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import strip, tokens
@@ -100,15 +100,22 @@ def parent_lookup(merged: DataFrame, parents: DataFrame) -> DataFrame:
 
 
 def figure_context(merged: DataFrame) -> DataFrame:
-    """doc_id, element_id and ``context`` of every figure: the next paragraph before page or section changes, else ''."""
-    blocks = in_blocks(merged.select("doc_id", "ord", "element_id", "element_type", "page", "section_path", "text"), "doc_id", "ord")
+    """doc_id, element_id, ord and ``context`` of every figure: the next paragraph before page or section changes, else ''.
+
+    Positions alone are scanned, forward for the runs of one page and section and backward for the next paragraph;
+    texts are fetched by position afterwards.
+    """
+    light = in_blocks(merged.select("doc_id", "ord", "element_type", "page", "section_path"), "doc_id", "ord")
     place = F.struct("page", "section_path")
-    moved = scan(blocks, "doc_id", "ord", previous={"__place": place})
+    moved = scan(light, "doc_id", "ord", previous={"__place": place})
     changed = F.coalesce((F.col("__place") != place).cast("int"), F.lit(1))
-    runs = scan(moved, "doc_id", "ord", sums={"__run": changed})
-    ahead = Window.partitionBy("doc_id", "__run").orderBy("ord").rowsBetween(1, Window.unboundedFollowing)
-    text = F.first(F.when(F.col("element_type") == "paragraph", F.col("text")), ignorenulls=True).over(ahead)
-    return runs.withColumn("context", F.coalesce(text, F.lit(""))).where("element_type = 'figure_caption'").select("doc_id", "element_id", "ord", "context")
+    runs = scan(moved, "doc_id", "ord", sums={"run": changed}).select("doc_id", (-F.col("ord")).alias("pos"), "element_type", "run")
+    ahead = F.when(F.col("element_type") == "paragraph", F.struct("run", "pos"))
+    back = scan(in_blocks(runs, "doc_id", "pos"), "doc_id", "pos", lasts={"ahead": ahead}).where("element_type = 'figure_caption'")
+    found = back.select("doc_id", (-F.col("pos")).alias("ord"), F.when(F.col("ahead.run") == F.col("run"), -F.col("ahead.pos")).alias("at"))
+    texts = merged.where("element_type = 'paragraph'").select("doc_id", F.col("ord").alias("at"), F.col("text").alias("context"))
+    figures = merged.where("element_type = 'figure_caption'").select("doc_id", "ord", "element_id")
+    return figures.join(found, ["doc_id", "ord"]).join(texts, ["doc_id", "at"], "left").select("doc_id", "element_id", "ord", F.coalesce("context", F.lit("")).alias("context"))
 
 
 def special_children(merged: DataFrame, parents: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import file_name, suffix
 from quire.operators import state
+from quire.operators.metadata import with_position
 from quire.plans.corpus import current_files
 from quire.queries.sqltext import FILES
 from quire.session import table
@@ -31,6 +32,11 @@ def discover_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths.where(kept).select("relative_path", suffix(file_name(F.col("relative_path"))).alias("file_ext"))
 
 
+def discover_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file's position in the order of path components."""
+    return with_position(_files(spark, sf_dir).select("relative_path", "doc_id"), F.split("relative_path", "/"), "position").select("relative_path", "position")
+
+
 def limit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 100 files in path order; the limit is the operator."""
     return _files(spark, sf_dir).orderBy(F.split("relative_path", "/")).limit(100).select("relative_path", "doc_id")
@@ -61,7 +67,7 @@ def parse_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (discover_filter, limit_files, skip_unchanged, removed_missing, ingest_state_next, parse_run_stats)}
+QUERIES = {f.__name__: f for f in (discover_filter, discover_order, limit_files, skip_unchanged, removed_missing, ingest_state_next, parse_run_stats)}
 
 SQL = {
     "discover_filter": r"""
@@ -69,6 +75,7 @@ SELECT relative_path, lower(regexp_extract(string_split(relative_path, '/')[-1],
 FROM (SELECT relative_path FROM ingest_state UNION SELECT metadata.relative_path FROM parsed_documents)
 WHERE relative_path IS NOT NULL AND lower(regexp_extract(string_split(relative_path, '/')[-1], '^.+(\.[^.]+)$', 1)) IN ('.pdf', '.md', '.txt')
   AND NOT list_has_any(string_split(relative_path, '/'), ['.git', '.venv', 'node_modules', '__pycache__'])""",
+    "discover_order": f"WITH {FILES} SELECT relative_path, row_number() OVER (ORDER BY string_split(relative_path, '/'), doc_id) AS position FROM files",
     "limit_files": f"WITH {FILES} SELECT relative_path, doc_id FROM files ORDER BY string_split(relative_path, '/') LIMIT 100",
     "skip_unchanged": f"WITH {FILES} SELECT relative_path, decision FROM decided WHERE decision <> 'unchanged'",
     "removed_missing": f"WITH {FILES} SELECT relative_path, doc_id FROM state WHERE relative_path NOT IN (SELECT relative_path FROM files)",

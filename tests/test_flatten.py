@@ -48,6 +48,11 @@ def test_lone_boxes_children_and_links(spark):
     }
 
 
+def test_a_list_between_owner_and_owned(spark):
+    record = {"doc_id": "d", "elements": [{"element_id": A, "metadata": [{"bboxes": [{"l": 1, "t": 1, "r": 1, "b": 1}]}]}]}
+    assert found(spark, [record]) == {(0, "element", A, "d"), (0, "bbox", f"{A}#0", A)}
+
+
 def test_children_written_as_a_string(spark):
     record = {"doc_id": "d", "child_nodes": json.dumps([{"child_id": "k", "parent_id": "p"}])}
     assert found(spark, [record]) == {(0, "child", "k", "p")}
