@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import nodes
 from quire.plans import corpus
-from quire.queries.sqltext import PARENTS, SPECIAL, windows
+from quire.queries.sqltext import SPECIAL, windows
 from quire.session import checkpointed, table
 
 
