@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import LINE_END, SPACE, count_of, lines, strip
 from quire.operators.ordered import in_blocks, scan
+from quire.session import checkpointed
 
 #: Element types whose neighbours of the same type, page and section are merged.
 JOINABLE = ("paragraph", "references", "table")
@@ -141,28 +142,44 @@ def with_sections(items: DataFrame, deepest: int = 6) -> DataFrame:
 # Elements
 
 def clean_elements(elements: DataFrame) -> DataFrame:
-    """Raw elements in blocks: repeated rows once, blank ones dropped, pages and paths without nulls."""
+    """Raw elements with stripped text, blank ones dropped, pages, paths, rows and boxes without nulls; repeated rows stay."""
     text = strip(F.coalesce("text", F.lit("")))
+    empty = lambda kind: F.array().cast(kind)
     return (
-        in_blocks(elements.select("doc_id", "element_type", "text", "page", "ord", "section_path", "table_rows", "bboxes"), "doc_id", "ord")
-        .withColumn("text", F.when((text == "") & (F.col("element_type") == "equation"), EMPTY_FORMULA).otherwise(text))
-        .where("text <> '' and doc_id is not null and ord is not null")
-        .withColumn("page", F.when(F.col("page") > 0, F.col("page")).otherwise(1))
-        .withColumn("section_path", F.coalesce("section_path", F.array().cast("array<string>")))
-    )
+        elements.where("doc_id is not null and ord is not null")
+        .select(
+            "doc_id", F.col("ord").cast("int").alias("ord"), "element_type", F.when((text == "") & (F.col("element_type") == "equation"), EMPTY_FORMULA).otherwise(text).alias("text"),
+            F.when(F.col("page") > 0, F.col("page")).otherwise(1).alias("page"), F.coalesce("section_path", empty("array<string>")).alias("section_path"),
+            F.coalesce("table_rows", empty("array<array<string>>")).alias("table_rows"), F.filter(F.coalesce("bboxes", empty(_BOXES)), lambda b: b.isNotNull()).alias("bboxes"),
+        )
+        .where("text <> ''")
+    )
+
+
+_BOXES = "array<struct<page:int,l:double,t:double,r:double,b:double,origin:string>>"
+
+
+def merge_groups(cleaned: DataFrame) -> DataFrame:
+    """doc_id, ord, group: the number of the merged element that each position belongs to, from positions and kinds alone."""
+    # Written once: the texts are then looked at once, and the scans read narrow rows.
+    light = checkpointed(in_blocks(cleaned.select("doc_id", "ord", "element_type", "page", F.xxhash64("section_path").alias("place")), "doc_id", "ord"))
+    same = F.struct("element_type", "page", "place")
+    linked = scan(light, "doc_id", "ord", previous={"before": same})
+    joins = F.col("element_type").isin(*JOINABLE) & F.coalesce(F.col("before") == same, F.lit(False))
+    return scan(linked.withColumn("begins", (~joins).cast("int")), "doc_id", "ord", sums={"group": F.col("begins")}).select("doc_id", "ord", "group")
 
 
 def merge_adjacent(elements: DataFrame) -> DataFrame:
-    """Merged elements: neighbours of a joinable type, page and section become one; ``ord`` counts anew from 1."""
-    same = F.struct(F.col("element_type").alias("kind"), F.col("page").alias("page"), F.col("section_path").alias("path"))
-    linked = scan(clean_elements(elements), "doc_id", "ord", previous={"__prev": same})
-    begins = ~(F.col("element_type").isin(*JOINABLE) & F.col("__prev").isNotNull() & F.coalesce(F.col("__prev") == same, F.lit(False)))
-    numbered = scan(linked.withColumn("__begins", begins.cast("int")), "doc_id", "ord", sums={"__group": F.col("__begins")})
+    """Merged elements: neighbours of a joinable type, page and section become one; ``ord`` counts anew from 1.
+
+    Groups are numbered on narrow rows; texts, cells and boxes move once to their position and once to their group.
+    """
+    cleaned = clean_elements(elements)
     members = F.array_sort(F.collect_list(F.struct("ord", "element_type", "text", "page", "section_path", "table_rows", "bboxes")))
-    merged = numbered.groupBy("doc_id", F.col("__group").alias("ord")).agg(members.alias("m"))
+    # Partitioned by position once: that serves the removal of repeated rows and the join.
+    placed = cleaned.repartition("doc_id", "ord").distinct()
+    merged = placed.join(merge_groups(cleaned), ["doc_id", "ord"]).groupBy("doc_id", F.col("group").alias("ord")).agg(members.alias("m"))
     first = F.col("m")[0]
-    rows = F.flatten(F.transform("m", lambda e: F.coalesce(e["table_rows"], F.array().cast("array<array<string>>"))))
-    boxes = F.flatten(F.transform("m", lambda e: F.filter(F.coalesce(e["bboxes"], F.array().cast("array<struct<page:int,l:double,t:double,r:double,b:double,origin:string>>")), lambda b: b.isNotNull())))
     return merged.select(
         "doc_id",
         F.sha1(F.concat_ws("::", "doc_id", F.lit("element"), "ord")).alias("element_id"),
@@ -171,7 +188,7 @@ def merge_adjacent(elements: DataFrame) -> DataFrame:
         first["page"].alias("page"),
         "ord",
         first["section_path"].alias("section_path"),
-        F.when(first["element_type"] == "table", rows).alias("table_rows"),
-        boxes.alias("bboxes"),
+        F.when(first["element_type"] == "table", F.flatten("m.table_rows")).alias("table_rows"),
+        F.flatten("m.bboxes").alias("bboxes"),
         F.size("m").alias("n_merged"),
     )

@@ -24,12 +24,11 @@ def _section(path: Column) -> Column:
 def parent_nodes(merged: DataFrame) -> DataFrame:
     """One parent for each heading and what follows it, and one for what comes before the first heading."""
     heading = F.col("element_type") == "section_heading"
-    rows = scan(
-        in_blocks(merged.select("doc_id", "ord", "element_type", "section_path", "page", "text"), "doc_id", "ord"),
-        "doc_id", "ord", sums={"parent_index": (heading | (F.col("ord") == 1)).cast("int")},
-    )
+    light = in_blocks(merged.select("doc_id", "ord", "element_type"), "doc_id", "ord")
+    numbers = scan(light, "doc_id", "ord", sums={"parent_index": (heading | (F.col("ord") == 1)).cast("int")}).select("doc_id", "ord", "parent_index")
     return (
-        rows.groupBy("doc_id", "parent_index")
+        merged.select("doc_id", "ord", "section_path", "page", "text").join(numbers, ["doc_id", "ord"])
+        .groupBy("doc_id", "parent_index")
         .agg(
             F.min_by("section_path", "ord").alias("__path"),
             F.min("page").alias("page_start"),
@@ -47,7 +46,7 @@ def parent_nodes(merged: DataFrame) -> DataFrame:
             "page_end",
             "text",
         )
-    )
+    )
 
 
 def n_windows(n: Column, size: int, overlap: int) -> Column:
