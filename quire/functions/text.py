@@ -15,8 +15,9 @@ _UNIT = "\x1f"
 
 
 def strip(c: Column) -> Column:
-    """Without white space at either end."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """Without white space at either end; only what has some there is searched."""
+    ends = F.concat(F.substring(c, 1, 1), F.substring(c, -1, 1))
+    return F.when(ends.rlike(SPACE), F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")).otherwise(c)
 
 
 def tokens(c: Column) -> Column:
