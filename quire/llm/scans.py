@@ -5,7 +5,8 @@
 * Page numbers: the last line of a page that reads as a number (Arabic or Roman, with or without signs and words around
   it, misread digits included) and differs from the page by as much as on another page nearby. Sequences may start anew.
 * Divided words: a line or element that ends in a hyphen sign, unless the corpus knows the compound better than the joined word.
-* Misread words: a rare word that has the key of a much more frequent one and differs from it by at most two confusions;
+* Misread words: a rare word that has the key of a much more frequent one and differs from it by at most two confusions; of
+  several such words the one that takes fewest, then the most frequent;
   words torn apart by a space and words spelled out with spaces whose joined form the corpus knows.
 
 Words are counted over all elements. Decisions are made for distinct words and pairs by joins with those
@@ -42,8 +43,10 @@ KNOWN_WHOLE = 30
 MOST_SHIPPED = 500_000
 
 # Characters and pairs of them that scanning confuses.
-_SINGLE = str.maketrans("el1|¡!j05$6h8f7+9q@42", "ciiiiiiossbbbtttggaaz")
-_DOUBLE = (("rn", "m"), ("vv", "w"), ("ci", "d"), ("ii", "u"), ("ri", "n"))
+# Each character has its own text in the key, a pair the text of the character it is taken for: no confusion changes a key,
+# wherever it stands and whatever stands beside it.
+_KEYS = str.maketrans(dict(zip("el1|¡!j05$6h8f7+9q@42", "ciiiiiiossbbbtttggaaz")) | {"n": "ri", "m": "rri", "w": "vv", "d": "ci", "u": "ii"})
+_SHORT = (("rri", "m"), ("vv", "w"), ("ci", "d"), ("ii", "u"), ("ri", "n"))
 _CONFUSIONS = [
     ("e", "c"), ("l", "1"), ("l", "|"), ("l", "i"), ("i", "1"), ("i", "|"), ("i", "¡"), ("i", "!"), ("i", "j"), ("l", "!"), ("o", "0"), ("s", "5"), ("s", "$"), ("b", "6"), ("b", "8"), ("b", "h"),
     ("t", "f"), ("t", "7"), ("t", "+"), ("g", "9"), ("g", "q"), ("q", "9"), ("a", "@"), ("a", "4"), ("z", "2"), ("m", "rn"), ("w", "vv"), ("d", "cl"), ("u", "ii"), ("n", "ri"),
@@ -69,10 +72,7 @@ _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 
 def key(word: str) -> str:
     """The word with characters that scanning confuses made equal."""
-    out = word.translate(_SINGLE)
-    for pair, one in _DOUBLE:
-        out = out.replace(pair, one)
-    return out
+    return word.translate(_KEYS)
 
 
 @functools.lru_cache(100_000)
@@ -85,8 +85,10 @@ def header_key(line: str) -> str | None:
     line = line.strip()
     if not 6 <= len(line) <= 100 or "\t" in line:
         return None
-    letters = "".join(map(_header_word, line.lower().split()))
-    return letters if len(letters) >= 5 else None
+    letters = short = "".join(map(_header_word, line.lower().split()))
+    for pair, one in _SHORT:
+        short = short.replace(pair, one)
+    return letters if len(short) >= 5 else None
 
 
 def number_values(line: str) -> list[int]:
@@ -168,18 +170,20 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words, meant = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        yield batch.filter(pa.array([confused(w, m) for w, m in zip(words, meant)], pa.bool_()))
+        pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        steps = pa.array([1 if confused(w, m, 1) else 2 if confused(w, m) else None for w, m in pairs], pa.int32())
+        yield pa.RecordBatch.from_arrays([*batch.columns, steps], ["word", "meant", "n", "steps"]).filter(steps.is_valid())
 
 
 def misread_words(counts: DataFrame) -> DataFrame:
     """word, meant: words that are misreadings of a known word."""
     keyed = counts.where(F.length("word") >= 3).where(~F.contains("word", F.lit("-"))).mapInArrow(_keyed, "word string, n bigint, key string")
     letters = F.col("word").rlike(r"^\p{L}+$")
-    best = keyed.where(letters & (F.col("n") >= KNOWN)).groupBy("key").agg(F.max(F.struct("n", "word")).alias("best"))
+    fit = keyed.where(letters & (F.col("n") >= KNOWN)).select("key", F.col("word").alias("meant"), F.col("n").alias("n_meant"))
     ratio = F.when(~letters | (F.length("word") > 4), RARER).otherwise(RARER_SHORT)
-    pairs = keyed.join(best, "key").where((F.col("word") != F.col("best.word")) & (F.col("best.n") >= ratio * F.col("n")))
-    return pairs.select("word", F.col("best.word").alias("meant")).mapInArrow(_plausible, "word string, meant string")
+    pairs = keyed.join(fit, "key").where((F.col("word") != F.col("meant")) & (F.col("n_meant") >= ratio * F.col("n")))
+    plausible = pairs.select("word", "meant", F.col("n_meant").alias("n")).mapInArrow(_plausible, "word string, meant string, n bigint, steps int")
+    return plausible.groupBy("word").agg(F.max_by("meant", F.struct(-F.col("steps"), "n", "meant")).alias("meant"))
 
 
 _EVIDENCE = "doc_id string, element_id string, ord int, kind string, line int, a string, b string, c string"

@@ -52,6 +52,26 @@ def test_misread_torn_and_spelled_words(spark):
     assert {x for x, n in noise(spark, rows) if n == "misread"} == {"m0", "m1", "m2", "m3", "m4", "m5"}
 
 
+@pytest.mark.parametrize(("a", "b"), scans._CONFUSIONS)
+def test_no_confusion_changes_a_key(a, b):
+    for left in ("", "c", "i", "r", "n", "u", "v", "ri", "ci", "m"):
+        for right in ("", "i", "n", "v", "l", "ii", "d"):
+            assert scans.key(left + a + right) == scans.key(left + b + right)
+
+
+def test_words_misread_beside_their_own_confusions(spark):
+    pairs = {"ciistody": "custody", "premiiim": "premium", "turriover": "turnover", "goverriance": "governance", "reciirsive": "recursive", "ciiando": "cuando", "custocly": "custody"}
+    counts = spark.createDataFrame([(w, 1) for w in pairs] + [(w, 40) for w in set(pairs.values())], "word string, n bigint")
+    assert {r.word: r.meant for r in scans.misread_words(counts).collect()} == pairs
+
+
+def test_every_known_word_of_a_key_is_tried(spark):
+    # 'decline' and 'clecline' have one key; the more frequent 'cicciiric' of that key is three confusions away.
+    counts = spark.createDataFrame([("clecline", 1), ("decline", 40), ("cicciiric", 5000)], "word string, n bigint")
+    assert len({scans.key(r.word) for r in counts.collect()}) == 1
+    assert [(r.word, r.meant) for r in scans.misread_words(counts).collect() if r.word == "clecline"] == [("clecline", "decline")]
+
+
 def test_blank_null_and_repeated_rows(spark):
     rows = [("b", 0, 1, "paragraph", None), ("b", 1, None, "paragraph", ""), ("b", 2, 0, None, " \n "), ("b", 3, 1, "paragraph", "con¬\nvexity"), ("b", 3, 1, "paragraph", "con¬\nvexity"), ("b", 4, 1, "paragraph", "word " * 60_000)]
     df = table(spark, FILL + rows).unionByName(spark.createDataFrame([(None, "x", "paragraph", "con¬\nvexity", 1, 1, ""), ("c", None, "paragraph", "con¬\nvexity", 1, 1, "")], SCHEMA))
