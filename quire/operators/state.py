@@ -64,6 +64,34 @@ def current_points(children: DataFrame) -> DataFrame:
     return hashed.groupBy("doc_id", "point_id").agg(F.max("content_hash").alias("content_hash"))
 
 
+#: What a point carries besides text and vector: the base keys, then all keys of a chunk's own metadata.
+PAYLOAD = {
+    "doc_id": "string", "parent_id": "string", "chunk_type": "string", "chunk_level": "string", "page_start": "int", "page_end": "int", "section_path": "array<string>", "relative_path": "string", "title": "string", "topic": "string",
+    "paper_title": "string", "authors": "array<string>", "year": "int", "section": "string", "chunk_index": "int", "table_rows": "array<array<string>>", "figure_context": "string",
+}
+
+
+def point_payload(children: DataFrame, parents: DataFrame, documents: DataFrame) -> DataFrame:
+    """doc_id, point_id, text, payload of all chunks that can be indexed, one row for each point, as in ``current_points``.
+
+    Of each key the chunk's value counts, else its parent's, else the document's. Of several rows of a chunk's point the
+    one with the greatest hash counts, then the greatest fields; of several of a parent or document the greatest fields.
+    """
+    keys = {"parent": ["doc_id", "parent_id"], "document": ["doc_id"]}
+    given = {"parent": ["section", "paper_title", "authors", "year"], "document": ["relative_path", "title", "topic", "paper_title", "authors", "year"]}
+    rows = fallback_child_id(children).where(strip(F.coalesce("text", F.lit(""))) != "").where("doc_id is not null")
+    own = F.struct(*(F.col(c).cast(PAYLOAD[c]).alias(c) for c in PAYLOAD if c in children.columns))
+    digest = content_hash(F.col("text"), F.coalesce("chunk_type", F.lit("")), F.col("doc_id"))
+    out = rows.groupBy("doc_id", point_id(F.col("child_id")).alias("point_id")).agg(F.max(F.struct(digest.alias("digest"), "text", own.alias("chunk"))).alias("r")).select("doc_id", "point_id", "r.text", "r.chunk", "r.chunk.parent_id")
+    for level, table in (("parent", parents), ("document", documents)):
+        fields = [F.col(c).cast(PAYLOAD[c]).alias(c) for c in given[level] if c in table.columns]
+        out = out.join(table.groupBy(*keys[level]).agg(F.max(F.struct(*fields)).alias(level)), keys[level], "left")
+        given[level] = [c for c in given[level] if c in table.columns]
+    given["chunk"] = [c for c in PAYLOAD if c in children.columns]
+    values = [F.coalesce(*(F.col(f"{level}.{c}") for level in ("chunk", "parent", "document") if c in given[level]), F.lit(None).cast(kind)).alias(c) for c, kind in PAYLOAD.items()]
+    return out.select("doc_id", "point_id", "text", F.struct(*values).alias("payload"))
+
+
 def latest_index_state(state: DataFrame) -> DataFrame:
     """One row for each document and point."""
     rank = F.struct(F.coalesce("updated_at", F.lit("0001-01-01").cast("timestamp")), F.coalesce("content_hash", F.lit("")))

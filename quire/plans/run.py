@@ -14,8 +14,13 @@ from quire.sources import jsonl, parse
 
 INGEST_STATE = "relative_path string, fingerprint string, doc_id string, char_count bigint, last_ingested_at timestamp"
 INDEX_STATE = "doc_id string, point_id string, content_hash string, updated_at timestamp"
-_CHILD = "struct<child_id:string,parent_id:string,doc_id:string,chunk_level:string,chunk_type:string,section_path:array<string>,page_start:int,page_end:int,text:string>"
-DOCUMENTS = f"doc_id string, text string, metadata struct<relative_path:string,title:string,topic:string>, child_nodes array<{_CHILD}>"
+#: A chunk's and a parent's metadata stand beside its other fields (as parse_folder writes them) or below ``metadata``.
+_OWN = "paper_title:string,authors:array<string>,year:int,section:string"
+_CHUNK = f"parent_id:string,relative_path:string,title:string,topic:string,chunk_level:string,chunk_type:string,section_path:array<string>,page_start:int,page_end:int,chunk_index:int,table_rows:array<array<string>>,figure_context:string,{_OWN}"
+_CHILD = f"struct<child_id:string,doc_id:string,text:string,{_CHUNK},metadata:struct<{_CHUNK}>>"
+_PARENT = f"struct<parent_id:string,{_OWN},metadata:struct<{_OWN}>>"
+DOCUMENTS = f"doc_id string, text string, metadata struct<relative_path:string,title:string,topic:string,paper_title:string,authors:array<string>,year:int>, parent_nodes array<{_PARENT}>, child_nodes array<{_CHILD}>"
+VECTORS = f"point_id string, doc_id string, text string, payload struct<{','.join(f'{name}:{kind}' for name, kind in state.PAYLOAD.items())}>, embedding array<float>"
 
 
 def elements_of(items: DataFrame) -> DataFrame:
@@ -74,24 +79,28 @@ def _client(config: IndexConfig):
     return lambda: embed.HttpEmbedder(config.embedding_endpoint, config.embedding_model, config.api_key)
 
 
+def _overridden(nodes: DataFrame) -> DataFrame:
+    """``nodes`` whose fields give way to those of the same name in their metadata."""
+    return nodes.withColumns({c: F.coalesce(F.col(f"metadata.{c}"), F.col(c)) for c in nodes.schema["metadata"].dataType.names}).drop("metadata")
+
+
 def index_documents(spark: SparkSession, config: IndexConfig) -> dict[str, int]:
     """Embed new and changed chunks, drop stale ones; the run's counters. Recreating treats the old state as empty."""
     snapshots = jsonl.Snapshots(spark, config.state_dir, INDEX_STATE)
-    vectors = jsonl.Snapshots(spark, config.vector_dir, "point_id string, doc_id string, text string, embedding array<float>")
+    vectors = jsonl.Snapshots(spark, config.vector_dir, VECTORS)
     before = spark.createDataFrame([], INDEX_STATE) if config.recreate else snapshots.read()
     documents = jsonl.read_strict(spark, config.input_jsonl, DOCUMENTS)
     doubled = documents.groupBy("doc_id").count().where("count > 1").limit(1).collect()
     if doubled:
         raise ValueError(f"document {doubled[0]['doc_id']} occurs more than once")
-    loaded = documents.where("child_nodes is not null").select(F.explode("child_nodes").alias("c")).select("c.*")
+    loaded = _overridden(documents.where("child_nodes is not null").select(F.explode("child_nodes").alias("c")).select("c.*"))
     usable = state.fallback_child_id(loaded)
     diff = checkpointed(state.index_diff(usable, before, config.delete_missing_docs))
     counts = {r["status"]: r["count"] for r in diff.groupBy("status").count().collect()}
     fresh = counts.get("new", 0) + counts.get("changed", 0)
     if fresh or counts.get("stale", 0) or config.recreate:
-        from quire.functions.text import point_id
-
-        points = usable.select(point_id(F.col("child_id")).alias("point_id"), "doc_id", "text").dropDuplicates(["point_id"])
+        parents = _overridden(documents.where("parent_nodes is not null").select("doc_id", F.explode("parent_nodes").alias("p")).select("doc_id", "p.*"))
+        points = state.point_payload(loaded, parents, documents.select("doc_id", "metadata.*")).dropDuplicates(["point_id"])
         todo = points.join(diff.where("status in ('new', 'changed')").select("point_id"), "point_id", "left_semi")
         new = todo.join(embed.embed(todo, _client(config), config.vector_size, config.batch_size), "point_id")
         old = spark.createDataFrame([], vectors.schema) if config.recreate else vectors.read()

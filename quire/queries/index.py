@@ -33,7 +33,7 @@ def point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def point_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of every point: the document's, overridden by the chunk's own."""
+    """Base keys of every point as columns, a row for each that occurs; ``point_payload`` has all keys."""
     docs = latest_texts(table(spark, sf_dir, "parsed_documents")).select("doc_id", F.col("metadata.relative_path").alias("relative_path"), F.col("metadata.title").alias("title"), F.col("metadata.topic").alias("topic"))
     usable = state.fallback_child_id(_children(spark, sf_dir).where(tx.strip(F.coalesce("text", F.lit(""))) != "").where("doc_id is not null"))
     rows = usable.select(
@@ -43,6 +43,14 @@ def point_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(docs, "doc_id", "left")
 
 
+def point_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metadata of every point: the chunk's own values, then its parent's, then the document's; lists as text."""
+    docs = latest_texts(table(spark, sf_dir, "parsed_documents")).select("doc_id", "metadata.relative_path", "metadata.title", "metadata.topic", "metadata.paper_title", "metadata.authors", "metadata.year")
+    rows = state.point_payload(_children(spark, sf_dir), table(spark, sf_dir, "parents"), docs).select("point_id", "payload.*")
+    lists = {"section_path": F.array_join("section_path", " > "), "authors": F.array_join("authors", "; "), "table_rows": F.array_join(F.transform("table_rows", lambda r: F.array_join(r, " | ", "")), "\n")}
+    return rows.withColumns(lists)
+
+
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The content hash of every point."""
     return state.current_points(_children(spark, sf_dir))
@@ -90,7 +98,7 @@ def index_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(blank, F.lit(True)).select("upserted", (F.col("n_same") + F.col("n_blank")).alias("skipped"), "deleted")
 
 
-QUERIES = {f.__name__: f for f in (blank_children, point_ids, point_metadata, content_hash, index_diff, stale_points, index_state_next, vector_table_next, embed_points, index_run_stats)}
+QUERIES = {f.__name__: f for f in (blank_children, point_ids, point_metadata, point_payload, content_hash, index_diff, stale_points, index_state_next, vector_table_next, embed_points, index_run_stats)}
 
 _BLANK = strip("coalesce(text, '')") + " = ''"
 

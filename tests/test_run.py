@@ -69,6 +69,38 @@ def test_recreating_writes_everything_again(spark, tmp_path):
     assert again == first
 
 
+def test_points_carry_their_whole_payload(spark, tmp_path):
+    (tmp_path / "in/crypto-papers").mkdir(parents=True)
+    (tmp_path / "in/crypto-papers/btc.md").write_text(PAPER)
+    parse, index = configs(tmp_path)
+    run.parse_folder(spark, parse)
+    run.index_documents(spark, index)
+    (doc,) = read_json(tmp_path / "docs")
+    sections = {p["parent_id"]: p["section"] for p in doc["parent_nodes"]}
+    payloads = [r.payload.asDict() for r in run.jsonl.Snapshots(spark, index.vector_dir, run.VECTORS).read().collect()]
+    assert len(payloads) == len(doc["child_nodes"])
+    for p in payloads:
+        assert (p["doc_id"], p["relative_path"], p["topic"], p["paper_title"], p["year"]) == (doc["doc_id"], "crypto-papers/btc.md", "crypto-papers", "Bitcoin Whitepaper", 2017)
+        assert p["authors"] == doc["metadata"]["authors"] and p["section"] == sections[p["parent_id"]]
+    by = {p["chunk_type"]: p for p in payloads}
+    assert by["table"]["table_rows"] == [["a", "b", "c"], ["1", "2", "3"]] and by["text"]["chunk_index"] == 1
+    assert by["figure"]["figure_context"] == next(c["figure_context"] for c in doc["child_nodes"] if c["chunk_type"] == "figure")
+
+
+def test_metadata_of_a_chunk_overrides_the_base_keys(spark, tmp_path):
+    own = {"title": "Own", "section": "Own section", "page_end": 9, "figure_context": "beside it", "year": 1999}
+    child = {"child_id": "c", "parent_id": "p", "doc_id": "d", "chunk_type": "figure", "page_start": 1, "page_end": 2, "text": "Figure 1"}
+    doc = {"doc_id": "d", "text": "x", "metadata": {"title": "Base", "year": 2000, "paper_title": "Paper"}, "parent_nodes": [{"parent_id": "p", "metadata": {"section": "Parent's", "authors": ["Ann"]}}], "child_nodes": [child | {"metadata": own}, child | {"child_id": "e"}]}
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs/a.json").write_text(json.dumps(doc))
+    _, index = configs(tmp_path)
+    run.index_documents(spark, index)
+    rows = {r.payload.page_end: r.payload for r in run.jsonl.Snapshots(spark, index.vector_dir, run.VECTORS).read().collect()}
+    keys = ("title", "section", "figure_context", "year", "authors", "paper_title")
+    assert tuple(rows[9][k] for k in keys) == ("Own", "Own section", "beside it", 1999, ["Ann"], "Paper")
+    assert tuple(rows[2][k] for k in keys) == ("Base", "Parent's", None, 2000, ["Ann"], "Paper")
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.yaml"
     path.write_text("parse:\n  source_dir: a\n  output_jsonl: b\n  output_manifest: c\n  state_dir: d\n  min_characters: 9\n  skip_unchanged: 'false'\n")
