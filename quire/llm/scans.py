@@ -32,8 +32,6 @@ from quire.session import checkpointed
 
 #: Pages within which a header or a number's neighbour must recur.
 NEAR = 4
-#: Elements before one without a page among which its page is looked for.
-BEFORE = 8
 #: A word misread is at least so many times rarer than the word meant; short words of letters alone need more.
 RARER, RARER_SHORT = 20, 1000
 #: Occurrences from which a word counts as known.
@@ -269,14 +267,14 @@ def evidence(elements: DataFrame, misread: frozenset[str] | None, known: frozens
 def page_edges(elements: DataFrame) -> DataFrame:
     """doc_id, ord, page, opens, closes for the first and last element of every page.
 
-    An element without a page is on that of the nearest of the BEFORE elements before it, else on page 1.
+    An element without a page is on the last page before it, else on page 1.
     """
     placed = elements.select("doc_id", F.col("ord").cast("int").alias("ord"), "page").where("doc_id is not null and ord is not null")
     good = placed.where("page > 0")
-    lost = placed.where("page is null or page <= 0").select("doc_id", "ord").distinct()
-    steps = lost.select("doc_id", "ord", F.explode(F.array(*(F.col("ord") - d for d in range(1, BEFORE + 1)))).alias("at"))
-    near = steps.join(good.select("doc_id", F.col("ord").alias("at"), "page"), ["doc_id", "at"]).groupBy("doc_id", "ord").agg(F.max_by("page", "at").alias("page"))
-    rows = good.unionByName(lost.join(near, ["doc_id", "ord"], "left").select("doc_id", "ord", F.coalesce("page", F.lit(1)).alias("page")))
+    lost = F.col("page").isNull() | (F.col("page") <= 0)
+    places = placed.groupBy("doc_id", "ord").agg(F.max(F.when(~lost, F.col("page"))).alias("page"), F.bool_or(lost).alias("lost"))
+    near = scan(in_blocks(places, "doc_id", "ord"), "doc_id", "ord", lasts={"near": F.col("page")})
+    rows = good.unionByName(near.where("lost").select("doc_id", "ord", F.coalesce("near", F.lit(1)).alias("page")))
     ends = rows.groupBy("doc_id", "page").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
     edge = ends.select("doc_id", "page", F.explode(F.array(F.struct(F.col("first").alias("ord"), F.lit(True).alias("opens")), F.struct(F.col("last").alias("ord"), F.lit(False).alias("opens")))).alias("e"))
     return edge.groupBy("doc_id", "page", F.col("e.ord").alias("ord")).agg(F.bool_or("e.opens").alias("opens"), F.bool_or(~F.col("e.opens")).alias("closes"))
@@ -333,7 +331,7 @@ class Findings:
         self.headers, self.numbers = checkpointed(headers), checkpointed(numbers)
         edge = self.headers.select("element_id", "line").unionByName(self.numbers.select("element_id", "line"))
         body = seen.join(edge, ["element_id", "line"], "left_anti")
-        self.hyphens = self._hyphens(body, seen, counts)
+        self.hyphens = checkpointed(self._hyphens(body, seen, counts))
         tokens = body.where("kind = 'T'").join(wrong, body["a"] == wrong["word"]).select("doc_id", "element_id", "line", "a", F.lit(None).cast("string").alias("b"), "meant")
         fit = whole.select(F.col("word").alias("meant"))
         weak = whole.select(F.col("word").alias("__k"), F.lit(True).alias("__known"))
@@ -353,9 +351,12 @@ class Findings:
         opened = self.headers.select("element_id", F.lit(True).alias("opened"))
         texts = seen.where("kind = 'E'").join(gone, "element_id", "left_anti").join(opened, "element_id", "left")
         following = texts.select("doc_id", F.col("ord").alias("at"), F.col("element_id").alias("next_id"), F.when(F.col("opened"), F.col("c")).otherwise(F.col("b")).alias("b"))
-        ahead = ends.withColumn("at", F.explode(F.array(*(F.col("ord") + d for d in range(1, 7))))).join(following, ["doc_id", "at"])
-        after = ahead.groupBy("element_id", "ord").agg(F.min(F.struct("at", "next_id", "b")).alias("n")).select("element_id", "ord", "n.next_id", "n.b")
-        closed = ends.join(after, ["element_id", "ord"], "left").select("doc_id", "element_id", "ord", "line", "a", "b", "c", F.lit(True).alias("at_end"), "next_id")
+        # Scanned backwards; at one position an end comes before the texts, so that it sees only later ones.
+        opens = following.where("at is not null").groupBy("doc_id", (1 - 2 * F.col("at").cast("bigint")).alias("at")).agg(F.min(F.struct("next_id", "b")).alias("n"))
+        closes = ends.where("ord is not null").select("doc_id", (-2 * F.col("ord").cast("bigint")).alias("at"), F.lit(None).cast(opens.schema["n"].dataType).alias("n")).distinct()
+        ahead = scan(in_blocks(opens.unionByName(closes), "doc_id", "at"), "doc_id", "at", lasts={"next": F.col("n")}).where("n is null")
+        after = ahead.select("doc_id", (F.col("at") / -2).cast("int").alias("ord"), "next.next_id", "next.b")
+        closed = ends.join(after, ["doc_id", "ord"], "left").select("doc_id", "element_id", "ord", "line", "a", "b", "c", F.lit(True).alias("at_end"), "next_id")
         return divided_words(inside.unionByName(closed).distinct(), counts).where("divided").drop("divided")
 
     def noise(self) -> DataFrame:

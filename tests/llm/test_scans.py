@@ -78,6 +78,14 @@ def test_blank_null_and_repeated_rows(spark):
     assert [(r.element_id, r.noise) for r in scans.find_noise(df).collect()] == [("b3", "hyphen")]
 
 
+def test_pages_and_next_paragraphs_are_looked_for_at_any_distance(spark):
+    rows = [("a", 0, 1, "paragraph", "rises in expo-")] + [("a", n, None, "table", "x") for n in range(1, 1100)] + [("a", 1100, 2, "paragraph", "sure whenever")]
+    rows += [("q", p * 100 + n, p if n == 0 else None, "paragraph", f"{p + 7}" if n == 20 else "word") for p in (1, 2, 3) for n in range(21)]
+    df = table(spark, FILL + rows)
+    assert {(r.element_id, r.noise) for r in scans.find_noise(df).collect()} == {("a0", "hyphen"), ("q120", "page_number"), ("q220", "page_number"), ("q320", "page_number")}
+    assert [r.text for r in scans.clean_paragraphs(df).where("doc_id = 'a' and element_type = 'paragraph'").collect()] == ["rises in exposure whenever"]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert scans.find_noise(empty).count() == 0 and scans.clean_paragraphs(empty).count() == 0
