@@ -1,19 +1,23 @@
 """Problem 3: noise of scanned pages, found and repaired.
 
-* Running headers: the first line of a page, where a line of the same letters opens another page nearby. Lines are
-  compared by a key under which characters that scanning confuses are equal, so the repetition is fuzzy.
-* Page numbers: the last line of a page that reads as a number (Arabic or Roman, with or without signs and words around
+* Running headers and footers: a line at the top or bottom of a page, where a line of the same letters stands at the same edge of
+  another page nearby. Lines are compared by a key under which characters that scanning confuses are equal, so the repetition is fuzzy.
+* Page numbers: a line at either edge of a page that reads as a number (Arabic or Roman, with or without signs and words around
   it, misread digits included) and differs from the page by as much as on another page nearby. Sequences may start anew.
 * Divided words: a line or element that ends in a hyphen sign, unless the corpus knows the compound better than the joined word.
 * Misread words: a rare word that has the key of a much more frequent one and differs from it by at most two confusions; of
   several such words the one that takes fewest, then the most frequent;
-  words torn apart by a space and words spelled out with spaces whose joined form the corpus knows.
+  words torn apart by a space and words spelled out with spaces whose joined form the corpus knows better than their parts.
 
-Words are counted over all elements. Decisions are made for distinct words and pairs by joins with those
-counts; where the known words are few enough they are also shipped to the tasks, only to drop what no join could keep.
+Words are counted over all elements, and all decisions are made for distinct words and pairs by joins with those counts. Of the
+words that can matter (misread ones, parts of torn ones and what those join to) a Bloom filter of fixed size goes to
+the tasks, which then give rows for nothing else; no set of words comes to the driver.
+
+The edge of a page is its first two lines and its last two, whether they stand in one element or in two.
 
 Defined results. Null, empty and blank texts have no noise. An element without a page or with page 0 counts to the last page before it.
-Repeated rows count once. Elements of a null doc_id or without element_id are left out.
+Of elements at one position with several pages the last page counts. Repeated rows count once. Elements of a null doc_id or
+without element_id are left out. A footer is reported as a header, the kind for running lines.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.sieve import Sieve, hash_of, sieve
 from quire.operators.ordered import in_blocks, scan
 from quire.session import checkpointed
 
@@ -34,11 +39,12 @@ from quire.session import checkpointed
 NEAR = 4
 #: A word misread is at least so many times rarer than the word meant; short words of letters alone need more.
 RARER, RARER_SHORT = 20, 1000
-#: Occurrences from which a word counts as known.
+#: Characters of a line that may be a header; number lines are shorter.
+LONGEST = 100
+#: The joined form of a torn word is at least so many times as frequent as its rarer part.
+TORN = 8
+#: Occurrences from which the part of a word at a hyphen counts as a word of its own.
 KNOWN = 10
-KNOWN_WHOLE = 30
-#: Known words that are shipped as a filter; with more of them the joins alone decide.
-MOST_SHIPPED = 500_000
 
 # Characters and pairs of them that scanning confuses.
 # Each character has its own text in the key, a pair the text of the character it is taken for: no confusion changes a key,
@@ -60,6 +66,7 @@ _COMPOUND = re.compile(r"[^\W\d_]+-[^\W\d_]+")
 _UNSPACED = re.compile("[぀-ヿ㐀-鿿가-힯]+")
 _SPELLED = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){3,}[^\W\d_](?![^\W_])")
 _SIDE_BY_SIDE = re.compile(r"(?<![^\W_])([^\W\d_]+) ([^\W\d_]+)(?![^\W_])")
+_NO_DIGIT = re.compile(r"\D+")
 _WORD = re.compile(r"[^\W\d_]+")
 _NUMBER = re.compile(
     r"^(?:(?:page|pág(?:ina)?\.?|pagina|seite|p\.|s\.|стр\.|第)\s*)?(?:[\[(\-–—|·]\s*)?([0-9oOlI|¡!sSbBgqzZ@+]{1,5}|[ivxlcdm1|¡!]{1,9})(?:\s*[\])\-–—|·页])?(?:\s*(?:/|of|von|de|sur|из)\s*[0-9oOlI|¡!sSbBgqzZ@+]{1,5})?$",
@@ -81,7 +88,7 @@ def _header_word(word: str) -> str:
 def header_key(line: str) -> str | None:
     """The letters of a possible header without numbers, or null for lines too short or too long."""
     line = line.strip()
-    if not 6 <= len(line) <= 100 or "\t" in line:
+    if not 6 <= len(line) <= LONGEST or "\t" in line:
         return None
     letters = short = "".join(map(_header_word, line.lower().split()))
     for pair, one in _SHORT:
@@ -177,78 +184,92 @@ def misread_words(counts: DataFrame) -> DataFrame:
     """word, meant: words that are misreadings of a known word."""
     keyed = counts.where(F.length("word") >= 3).where(~F.contains("word", F.lit("-"))).mapInArrow(_keyed, "word string, n bigint, key string")
     letters = F.col("word").rlike(r"^\p{L}+$")
-    fit = keyed.where(letters & (F.col("n") >= KNOWN)).select("key", F.col("word").alias("meant"), F.col("n").alias("n_meant"))
+    fit = keyed.where(letters & (F.col("n") >= RARER)).select("key", F.col("word").alias("meant"), F.col("n").alias("n_meant"))
     ratio = F.when(~letters | (F.length("word") > 4), RARER).otherwise(RARER_SHORT)
     pairs = keyed.join(fit, "key").where((F.col("word") != F.col("meant")) & (F.col("n_meant") >= ratio * F.col("n")))
     plausible = pairs.select("word", "meant", F.col("n_meant").alias("n")).mapInArrow(_plausible, "word string, meant string, n bigint, steps int")
     return plausible.groupBy("word").agg(F.max_by("meant", F.struct(-F.col("steps"), "n", "meant")).alias("meant"))
 
 
-_EVIDENCE = "doc_id string, element_id string, ord int, kind string, line int, a string, b string, c string"
+def torn_parts(counts: DataFrame) -> DataFrame:
+    """part, joined: rare words that begin or end a word at least TORN times as frequent, and that word."""
+    alpha = counts.where(F.col("word").rlike(r"^\p{L}+$"))
+    cut = F.sequence(F.lit(1), F.length("word") - 1)
+    ends = F.flatten(F.transform(cut, lambda k: F.array(F.substr("word", F.lit(1), k), F.substr("word", k + 1))))
+    whole = alpha.where((F.col("n") >= TORN) & (F.length("word") > 1)).select(F.col("word").alias("joined"), F.col("n").alias("n_joined"), F.explode(ends).alias("word"))
+    return alpha.join(whole, "word").where(F.col("n_joined") >= TORN * F.col("n")).select(F.col("word").alias("part"), "joined")
+
 
+_EVIDENCE = "doc_id string, element_id string, ord int, kind string, line int, n_lines int, a string, b string, c string"
+_EDGE_TYPES = (None, "paragraph", "references", "figure_caption")
 
-def evidence(elements: DataFrame, misread: frozenset[str] | None, known: frozenset[str] | None) -> DataFrame:
+
+def evidence(elements: DataFrame, words: Sieve) -> DataFrame:
     """Rows of what an element may have, by kind; ``line`` is the line's number.
 
-    E: every paragraph and reference: number of lines, header key of its first line, first words of its first two lines.
-    N: its last line reads as a page number (a: the values). H: word divided at a line end (a, b: parts, c: sign).
-    D: word divided at the end. B: word divided before a last line that may be a page number. T: word. P: words side by side (a, b). S: word spelled out.
-    Of T and P all are given if ``misread`` or ``known`` is null, else only those that can matter.
+    E: every paragraph and reference: first words of its first three lines. L: a line that may stand at a page's edge (a: header key, b: number values, c: digits).
+    H: word divided at a line end (a, b: parts, c: sign). D: word divided at the end. B: word divided before a last line that may be a page number.
+    T: word. P: words side by side (a, b). S: word spelled out. Of T and P only what ``words`` may have are given.
     """
 
-    class Notes(dict):
-        """What a run of non-space may be part of: 1 a misread word, 2 a torn word, 4 a word spelled out."""
-
-        def __missing__(self, chunk: str) -> int:
-            if len(self) >= 400_000:
-                self.clear()
-            words = _tokens(chunk)
-            torn = [w for w in words if w.isalpha() and (known is None or w not in known)]
-            value = (1 if misread is None and words or misread is not None and not misread.isdisjoint(words) else 0) | (2 if torn else 0)
-            out = self[chunk] = value | (4 if any(len(w) == 1 for w in words) else 0)
-            return out
-
-    notes = Notes()
-
-    def of(text: str, kind: str) -> Iterator[tuple]:
-        lines = text.split("\n")
-        if kind in ("paragraph", "references"):
-            first = [(_WORD.search(line) or [None])[0] for line in lines[:2]] + [None]
-            yield ("E", len(lines), header_key(lines[0]) if kind == "paragraph" else None, *first[:2])
-            if kind == "paragraph" and len(lines[-1]) <= 40 and (values := number_values(lines[-1])):
-                yield ("N", len(lines) - 1, ",".join(map(str, values)), None, None)
-                if m := _UNENDED.search("\n".join(lines[:-1])):
-                    yield ("B", len(lines) - 2, m[1], None, m[2])
-        if _LINE_HYPHEN.search(text):
-            for m in _DIVIDED.finditer(text):
-                yield ("H", text.count("\n", 0, m.start()), m[1], m[3], m[2])
-        if text.rstrip()[-1:] in _HYPHENS and (m := _UNENDED.search(text)):
-            yield ("D", text.count("\n", 0, m.start()), m[1], None, m[2])
-        whole = _whole(text)
-        flags = set(map(notes.__getitem__, whole.split()))
-        if flags <= {0}:
-            return
-        for number, line in enumerate(whole.split("\n")):
-            chunks = line.split()
-            marks = list(map(notes.__getitem__, chunks))
-            if any(f & 1 for f in marks):
-                for word in _tokens(line):
-                    if misread is None or word in misread:
-                        yield ("T", number, word, None, None)
-            seen = set()
-            for i, f in enumerate(marks):
-                if f & 2:
-                    for at in (i - 1, i):
-                        if at >= 0 and at not in seen:
-                            seen.add(at)
-                            m = _SIDE_BY_SIDE.search(" ".join(chunks[at : at + 2]))
-                            if m and (known is None or m[1] + m[2] in known and not (m[1] in known and m[2] in known)):
-                                yield ("P", number, m[1], m[2], None)
-            if sum(f >> 2 & 1 for f in marks) >= 4:
-                for m in _SPELLED.finditer(line):
-                    yield ("S", number, m[0].replace(" ", ""), None, None)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words.opened()
+
+        class Notes(dict):
+            """What a run of non-space may be part of: 1 a misread word, 2 a torn word, 4 a word spelled out."""
+
+            def __missing__(self, chunk: str) -> int:
+                if len(self) >= 400_000:
+                    self.clear()
+                found = _tokens(chunk)
+                out = self[chunk] = any(f"misread {w}" in known for w in found) | any(f"part {w}" in known for w in found) << 1 | any(len(w) == 1 for w in found) << 2
+                return out
+
+        notes = Notes()
+
+        def of(text: str, kind: str | None) -> Iterator[tuple]:
+            lines = text.split("\n")
+            n = len(lines)
+            if kind in ("paragraph", "references"):
+                yield ("E", 0, n, *([(_WORD.search(line) or [None])[0] for line in lines[:3]] + [None] * 3)[:3])
+            if kind in _EDGE_TYPES:
+                for at in sorted({0, 1, n - 2, n - 1} & set(range(n))):
+                    if len(lines[at]) <= LONGEST:
+                        values = number_values(lines[at])
+                        letters = None if values else header_key(lines[at])
+                        if letters or values:
+                            yield ("L", at, n, letters, ",".join(map(str, values)) or None, _NO_DIGIT.sub("", lines[at]))
+                            if at == n - 1 and values and n > 1 and (m := _UNENDED.search("\n".join(lines[:-1]))):
+                                yield ("B", n - 2, n, m[1], None, m[2])
+            if _LINE_HYPHEN.search(text):
+                for m in _DIVIDED.finditer(text):
+                    yield ("H", text.count("\n", 0, m.start()), n, m[1], m[3], m[2])
+            if text.rstrip()[-1:] in _HYPHENS and (m := _UNENDED.search(text)):
+                yield ("D", text.count("\n", 0, m.start()), n, m[1], None, m[2])
+            whole = _whole(text)
+            flags = set(map(notes.__getitem__, whole.split()))
+            if flags <= {0}:
+                return
+            for number, line in enumerate(whole.split("\n")):
+                chunks = line.split()
+                marks = list(map(notes.__getitem__, chunks))
+                if any(f & 1 for f in marks):
+                    for word in _tokens(line):
+                        if f"misread {word}" in known:
+                            yield ("T", number, n, word, None, None)
+                seen = set()
+                for i, f in enumerate(marks):
+                    if f & 2:
+                        for at in (i - 1, i):
+                            if at >= 0 and at not in seen:
+                                seen.add(at)
+                                m = _SIDE_BY_SIDE.search(" ".join(chunks[at : at + 2]))
+                                if m and f"joined {m[1]}{m[2]}" in known:
+                                    yield ("P", number, n, m[1], m[2], None)
+                if sum(f >> 2 & 1 for f in marks) >= 4:
+                    for m in _SPELLED.finditer(line):
+                        yield ("S", number, n, m[0].replace(" ", ""), None, None)
+
         for batch in batches:
             rows, found = [], []
             for row, (text, kind) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
@@ -257,116 +278,118 @@ def evidence(elements: DataFrame, misread: frozenset[str] | None, known: frozens
                     rows += [row] * len(got)
                     found += got
             at = pa.array(rows, pa.int64())
-            columns = [pa.array([f[n] for f in found], k) for n, k in enumerate((pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n).take(at) for n in range(3)), *columns], ["doc_id", "element_id", "ord", "kind", "line", "a", "b", "c"])
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
+            columns = [pa.array([f[n] for f in found], k) for n, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n).take(at) for n in range(3)), *columns], ["doc_id", "element_id", "ord", "kind", "line", "n_lines", "a", "b", "c"])
 
     source = elements.select("doc_id", "element_id", F.col("ord").cast("int").alias("ord"), "text", "element_type").where("text is not null and doc_id is not null and element_id is not null")
     return source.mapInArrow(run, _EVIDENCE)
 
 
 def page_edges(elements: DataFrame) -> DataFrame:
-    """doc_id, ord, page, opens, closes for the first and last element of every page.
+    """doc_id, ord, page, top, bottom: the first two positions (top 1, 2) and the last two (bottom 1, 2) of every page.
 
-    An element without a page is on the last page before it, else on page 1.
+    A position without a page is on the last page before it, else on page 1.
+    """
+    placed = elements.where("doc_id is not null and ord is not null").groupBy("doc_id", F.col("ord").cast("int").alias("ord")).agg(F.max(F.when(F.col("page") > 0, F.col("page"))).alias("own"))
+    rows = scan(in_blocks(placed, "doc_id", "ord"), "doc_id", "ord", lasts={"near": F.col("own")})
+    ends = rows.groupBy("doc_id", F.coalesce("near", F.lit(1)).alias("page")).agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
+    at = lambda pos, top, bottom: F.struct(pos.alias("ord"), F.lit(top).alias("top"), F.lit(bottom).alias("bottom"))
+    first, last = F.col("first"), F.col("last")
+    edge = ends.select("doc_id", "page", "first", "last", F.explode(F.array(at(first, 1, None), at(first + 1, 2, None), at(last, None, 1), at(last - 1, None, 2))).alias("e"))
+    inside = edge.where("e.ord between first and last")
+    return inside.groupBy("doc_id", F.col("e.ord").alias("ord")).agg(F.max("page").alias("page"), F.min("e.top").alias("top"), F.min("e.bottom").alias("bottom"))
+
+
+def edge_lines(seen: DataFrame, edges: DataFrame) -> DataFrame:
+    """element_id, line, n_lines, noise: lines that are running headers (or footers) or page numbers.
+
+    A line recurs if a page at most NEAR pages away has its key, or its number's distance from the page, at the same edge. No
+    group meets in one place: every page asks its neighbours by an equality join. The second line of an edge, be it in
+    the first element or one of its own, counts only beyond a first line that recurs itself, and its digits must recur, too.
     """
-    placed = elements.select("doc_id", F.col("ord").cast("int").alias("ord"), "page").where("doc_id is not null and ord is not null")
-    good = placed.where("page > 0")
-    lost = F.col("page").isNull() | (F.col("page") <= 0)
-    places = placed.groupBy("doc_id", "ord").agg(F.max(F.when(~lost, F.col("page"))).alias("page"), F.bool_or(lost).alias("lost"))
-    near = scan(in_blocks(places, "doc_id", "ord"), "doc_id", "ord", lasts={"near": F.col("page")})
-    rows = good.unionByName(near.where("lost").select("doc_id", "ord", F.coalesce("near", F.lit(1)).alias("page")))
-    ends = rows.groupBy("doc_id", "page").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-    edge = ends.select("doc_id", "page", F.explode(F.array(F.struct(F.col("first").alias("ord"), F.lit(True).alias("opens")), F.struct(F.col("last").alias("ord"), F.lit(False).alias("opens")))).alias("e"))
-    return edge.groupBy("doc_id", "page", F.col("e.ord").alias("ord")).agg(F.bool_or("e.opens").alias("opens"), F.bool_or(~F.col("e.opens")).alias("closes"))
-
-
-def _recurring(rows: DataFrame, *keys: str) -> DataFrame:
-    """The rows that share ``keys`` with a row of another page at most NEAR pages away; no group meets in one place."""
+    lines = seen.where("kind = 'L'").join(edges, ["doc_id", "ord"])
+    single, inner = F.col("n_lines") == 1, F.col("n_lines") - 1 - F.col("line")
+    depth = lambda rank, line: F.when((rank == 1) & (line <= 1), line + 1).when((rank == 2) & single, 2)
+    sides = F.array(F.struct(F.lit("top").alias("side"), depth(F.col("top"), F.col("line")).alias("depth"), F.col("top").alias("rank")), F.struct(F.lit("bottom").alias("side"), depth(F.col("bottom"), inner).alias("depth"), F.col("bottom").alias("rank")))
+    offsets = F.transform(F.split("b", ","), lambda v: F.concat(F.lit("#"), v.cast("bigint") - F.col("page")))
+    at_edge = lines.withColumn("s", F.explode(sides)).where("s.depth is not null")
+    exact = F.concat("a", F.lit("|"), "c")
+    keys = F.array_compact(F.concat(F.array(F.when(F.col("s.depth") == 1, F.col("a")), exact), F.coalesce(offsets, F.array().cast("array<string>"))))
+    asked = checkpointed(at_edge.select("doc_id", "element_id", "line", "n_lines", "page", "s.side", "s.depth", "s.rank", F.explode(keys).alias("key")))
     near = F.array(*(F.col("page") + d for d in range(-NEAR, NEAR + 1) if d))
-    others = rows.select(*keys, F.explode(near).alias("page")).distinct()
-    return rows.join(others, [*keys, "page"], "left_semi")
-
-
-def edges_found(seen: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Elements that open with a running header, and those that close with a page number: doc_id, element_id, ord, line, n_lines."""
-    at_edge = checkpointed(seen.where("kind = 'E' and a is not null or kind = 'N'").join(edges, ["doc_id", "ord"]))
-    opening = at_edge.where("kind = 'E' and opens").select("doc_id", "element_id", "ord", F.col("line").alias("n_lines"), F.col("a").alias("key"), "page")
-    headers = _recurring(opening, "doc_id", "key").select("doc_id", "element_id", "ord", F.lit(0).alias("line"), "n_lines").distinct()
-    closing = at_edge.where("kind = 'N' and closes").select("doc_id", "element_id", "ord", "line", "page", F.explode(F.split("a", ",")).alias("value"))
-    closing = closing.withColumn("offset", F.col("value").cast("bigint") - F.col("page"))
-    numbers = _recurring(closing, "doc_id", "offset").select("doc_id", "element_id", "ord", "line", (F.col("line") + 1).alias("n_lines")).distinct()
-    return headers, numbers
+    others = asked.select("doc_id", "side", "key", F.explode(near).alias("page")).distinct()
+    found = checkpointed(asked.join(others, ["doc_id", "side", "key", "page"], "left_semi"))
+    first = found.where("depth = 1").groupBy("doc_id", "page", "side").agg(F.bool_or(single).alias("alone"))
+    second = found.where("depth = 2").join(first, ["doc_id", "page", "side"]).where("rank = 1 or alone")
+    rows = found.where("depth = 1").unionByName(second.select(*found.columns))
+    return rows.select("element_id", "line", "n_lines", F.when(F.col("key").startswith("#"), "page_number").otherwise("header").alias("noise")).distinct()
 
 
-def divided_words(parts: DataFrame, counts: DataFrame) -> DataFrame:
-    """``parts`` (a, b, c) with ``divided``: whether the word was divided there rather than a compound at its hyphen.
+def decided(parts: DataFrame, counts: DataFrame) -> DataFrame:
+    """The distinct ``kind, a, b, c`` of ``parts`` that are noise, by one join of all their forms with the counts.
 
-    A sign other than the plain hyphen always divides. With one the better known of both forms decides; if
-    neither is known, two known words are a compound.
+    H, D (word at a hyphen): a sign other than the plain hyphen always divides. With one the better known of both forms decides; if
+    neither is known, two known words are a compound. P (side by side): torn if the joined word is TORN times as frequent as the rarer part.
+    S (spelled out): words of five letters or more, shorter ones if the corpus knows them.
     """
-    distinct = parts.select("a", "b", "c").distinct()
-    left, right = F.lower("a"), F.lower(F.coalesce("b", F.lit("")))
-    forms = {"joined": F.concat(left, right), "compound": F.concat(left, F.lit("-"), right), "n_left": left, "n_right": right}
-    known = distinct
-    for name, form in forms.items():
-        known = known.withColumn("__w", form).join(counts.select(F.col("word").alias("__w"), F.col("n").alias(name)), "__w", "left").drop("__w").withColumn(name, F.coalesce(name, F.lit(0)))
-    alone = F.col("b").isNull()
-    hyphen = F.when(alone, F.col("n_left") < KNOWN).when(F.col("compound") > F.col("joined"), False).when(F.col("joined") > 0, True).otherwise((F.col("n_left") < KNOWN) | (F.col("n_right") < KNOWN))
-    decided = known.select("a", "b", "c", F.when(F.col("c") != "-", True).otherwise(hyphen).alias("divided"))
-    return parts.join(decided, (parts["a"] == decided["a"]) & parts["b"].eqNullSafe(decided["b"]) & (parts["c"] == decided["c"])).drop(decided["a"]).drop(decided["b"]).drop(decided["c"])
+    distinct = parts.select("kind", "a", "b", "c").distinct()
+    left, right = F.lower("a"), F.lower("b")
+    form = lambda name, word: F.struct(F.lit(name).alias("form"), word.alias("word"))
+    forms = F.array(form("joined", F.concat(left, right)), form("compound", F.concat(left, F.lit("-"), right)), form("left", left), form("right", right))
+    each = distinct.select("kind", "a", "b", "c", F.explode(forms).alias("f")).select("kind", "a", "b", "c", "f.form", "f.word")
+    n = lambda name: F.coalesce(F.max(F.when(F.col("form") == name, F.col("n"))), F.lit(0)).alias(f"n_{name}")
+    known = each.join(counts, "word", "left").groupBy("kind", "a", "b", "c").agg(*map(n, ("joined", "compound", "left", "right")))
+    followed = F.col("b") != ""
+    unknown = (F.col("n_left") < KNOWN) | followed & (F.col("n_right") < KNOWN)
+    hyphen = F.when(followed & (F.col("n_compound") > F.col("n_joined")), False).when(followed & (F.col("n_joined") > 0), True).otherwise(unknown)
+    torn = F.col("n_joined") >= TORN * F.greatest(F.least("n_left", "n_right"), F.lit(1))
+    spelled = (F.length("a") >= 5) | (F.col("n_joined") >= KNOWN)
+    noise = F.when(F.col("kind") == "P", torn).when(F.col("kind") == "S", spelled).when(F.col("c") != "-", True).otherwise(hyphen)
+    return known.where(noise).select("kind", "a", "b", "c")
 
 
 class Findings:
-    """What was found in the elements: ``headers``, ``numbers``, ``hyphens`` and ``misread``, each by element and line."""
+    """What was found in the elements: ``edges`` (lines), ``words`` (hyphens, torn and spelled words) and ``misread``, each by element."""
 
     def __init__(self, elements: DataFrame) -> None:
         counts = checkpointed(word_counts(elements))
         wrong = checkpointed(misread_words(counts))
-        whole = counts.where(F.col("n") >= KNOWN_WHOLE).where(F.col("word").rlike(r"^\p{L}+$"))
-        few = wrong.count() <= MOST_SHIPPED and whole.count() <= MOST_SHIPPED
-        misread = frozenset(r["word"] for r in wrong.select("word").toLocalIterator()) if few else None
-        known = frozenset(r["word"] for r in whole.select("word").toLocalIterator()) if few else None
-        seen = checkpointed(evidence(elements, misread, known))
-        headers, numbers = edges_found(seen, page_edges(elements))
-        self.headers, self.numbers = checkpointed(headers), checkpointed(numbers)
-        edge = self.headers.select("element_id", "line").unionByName(self.numbers.select("element_id", "line"))
-        body = seen.join(edge, ["element_id", "line"], "left_anti")
-        self.hyphens = checkpointed(self._hyphens(body, seen, counts))
-        tokens = body.where("kind = 'T'").join(wrong, body["a"] == wrong["word"]).select("doc_id", "element_id", "line", "a", F.lit(None).cast("string").alias("b"), "meant")
-        fit = whole.select(F.col("word").alias("meant"))
-        weak = whole.select(F.col("word").alias("__k"), F.lit(True).alias("__known"))
-        pairs = body.where("kind = 'P'").withColumn("meant", F.concat("a", "b")).join(fit, "meant")
-        pairs = pairs.join(weak.select(F.col("__k").alias("a"), F.col("__known").alias("__a")), "a", "left").join(weak.select(F.col("__k").alias("b"), F.col("__known").alias("__b")), "b", "left").where("__a is null or __b is null")
-        spelled = body.where("kind = 'S'").join(counts.select(F.col("word").alias("a"), "n"), "a", "left").where((F.length("a") >= 5) | (F.col("n") >= KNOWN)).withColumn("meant", F.col("a"))
-        columns = ["doc_id", "element_id", "line", "a", "b", "meant"]
-        self.misread = tokens.unionByName(pairs.select(*columns)).unionByName(spelled.select(*columns))
-
-    def _hyphens(self, body: DataFrame, seen: DataFrame, counts: DataFrame) -> DataFrame:
-        """doc_id, element_id, ord, line, a, b, c, at_end, next_id of divided words."""
-        inside = body.where("kind = 'H'").select("doc_id", "element_id", "ord", "line", "a", "b", "c", F.lit(False).alias("at_end"), F.lit(None).cast("string").alias("next_id"))
-        before = body.where("kind = 'B'").join(self.numbers.select("element_id"), "element_id", "left_semi")
-        ends = body.where("kind = 'D'").unionByName(before).select("doc_id", "element_id", "ord", "line", "a", "c")
+        tagged = lambda tag, word: hash_of(F.concat(F.lit(tag), word)).alias("h")
+        torn = torn_parts(counts)
+        sought = wrong.select(tagged("misread ", F.col("word"))).unionAll(torn.select(F.explode(F.array(tagged("part ", F.col("part")), tagged("joined ", F.col("joined")))).alias("h")))
+        seen = checkpointed(evidence(elements, sieve(sought, "h")))
+        self.edges = checkpointed(edge_lines(seen, page_edges(elements)))
+        body = seen.where("kind in ('H', 'D', 'B', 'T', 'P', 'S')").join(self.edges, ["element_id", "line"], "left_anti")
+        parts = self._parts(body, seen)
+        self.words = checkpointed(parts.join(decided(parts, counts), ["kind", "a", "b", "c"]))
+        tokens = body.where("kind = 'T'").join(wrong, body["a"] == wrong["word"])
+        self.misread = tokens.select("element_id", "a", "meant")
+
+    def _parts(self, body: DataFrame, seen: DataFrame) -> DataFrame:
+        """element_id, kind (H, D, P, S), a, b, c, next_id; D is a word divided at the end, and b goes on in the element ``next_id``."""
+        inside = body.where("kind in ('H', 'P', 'S')").select("element_id", "kind", "a", "b", "c", F.lit(None).cast("string").alias("next_id"))
+        numbers = self.edges.where("noise = 'page_number'").select("element_id", (F.col("line") - 1).alias("line"))
+        before = body.where("kind = 'B'").join(numbers, ["element_id", "line"], "left_semi")
+        ends = body.where("kind = 'D'").unionByName(before).select("doc_id", "element_id", "ord", "a", "c")
         # The word goes on in the next paragraph that isn't a header or page number as a whole.
-        gone = self.headers.where("n_lines = 1").select("element_id").unionByName(self.numbers.where("n_lines = 1").select("element_id"))
-        opened = self.headers.select("element_id", F.lit(True).alias("opened"))
-        texts = seen.where("kind = 'E'").join(gone, "element_id", "left_anti").join(opened, "element_id", "left")
-        following = texts.select("doc_id", F.col("ord").alias("at"), F.col("element_id").alias("next_id"), F.when(F.col("opened"), F.col("c")).otherwise(F.col("b")).alias("b"))
+        per = self.edges.select("element_id", "line", "n_lines").distinct().groupBy("element_id").agg(F.count("*").alias("n"), F.max("n_lines").alias("n_lines"), F.bool_or(F.col("line") == 0).alias("l0"), F.bool_or(F.col("line") == 1).alias("l1"))
+        opened = per.select("element_id", (F.col("n") >= F.col("n_lines")).alias("gone"), F.when(F.col("l0") & F.col("l1"), 2).when(F.col("l0"), 1).otherwise(0).alias("skip"))
+        texts = seen.where("kind = 'E' and ord is not null").join(opened, "element_id", "left").where("not coalesce(gone, false)")
+        word = F.when(F.col("skip") == 2, F.col("c")).when(F.col("skip") == 1, F.col("b")).otherwise(F.col("a"))
         # Scanned backwards; at one position an end comes before the texts, so that it sees only later ones.
-        opens = following.where("at is not null").groupBy("doc_id", (1 - 2 * F.col("at").cast("bigint")).alias("at")).agg(F.min(F.struct("next_id", "b")).alias("n"))
+        opens = texts.groupBy("doc_id", (1 - 2 * F.col("ord").cast("bigint")).alias("at")).agg(F.min(F.struct(F.col("element_id").alias("next_id"), word.alias("b"))).alias("n"))
         closes = ends.where("ord is not null").select("doc_id", (-2 * F.col("ord").cast("bigint")).alias("at"), F.lit(None).cast(opens.schema["n"].dataType).alias("n")).distinct()
         ahead = scan(in_blocks(opens.unionByName(closes), "doc_id", "at"), "doc_id", "at", lasts={"next": F.col("n")}).where("n is null")
         after = ahead.select("doc_id", (F.col("at") / -2).cast("int").alias("ord"), "next.next_id", "next.b")
-        closed = ends.join(after, ["doc_id", "ord"], "left").select("doc_id", "element_id", "ord", "line", "a", "b", "c", F.lit(True).alias("at_end"), "next_id")
-        return divided_words(inside.unionByName(closed).distinct(), counts).where("divided").drop("divided")
+        closed = ends.join(after, ["doc_id", "ord"], "left").select("element_id", F.lit("D").alias("kind"), "a", "b", "c", "next_id")
+        # Null parts become '', so that equality joins serve.
+        return inside.unionByName(closed).withColumns({k: F.coalesce(k, F.lit("")) for k in ("b", "c")}).distinct()
 
     def noise(self) -> DataFrame:
         """element_id, noise: each kind once for each element."""
-        kinds = (("hyphen", self.hyphens), ("misread", self.misread), ("header", self.headers), ("page_number", self.numbers))
-        parts = [rows.select("element_id", F.lit(kind).alias("noise")) for kind, rows in kinds]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out.distinct()
+        words = self.words.select("element_id", F.when(F.col("kind").isin("H", "D"), "hyphen").otherwise("misread").alias("noise"))
+        return self.edges.select("element_id", "noise").unionByName(words).unionByName(self.misread.select("element_id", F.lit("misread").alias("noise"))).distinct()
 
 
 def find_noise(elements: DataFrame) -> DataFrame:
@@ -386,40 +409,33 @@ def repaired(text: str, element_type: str | None, fixes: list[dict]) -> str:
     by: dict[str, list[dict]] = {}
     for fix in fixes:
         by.setdefault(fix["kind"], []).append(fix)
-    lines = text.split("\n")
-    if "page_number" in by:
-        lines = lines[:-1]
-    if "header" in by:
-        lines = lines[1:]
-    text = "\n".join(lines)
-    divided = {(f["a"], f["b"]) for f in by.get("hyphen", [])}
+    cut = {int(f["a"]) for f in by.get("line", [])}
+    text = "\n".join(line for at, line in enumerate(text.split("\n")) if at not in cut)
+    divided = {(f["a"], f["b"]) for f in by.get("H", [])}
     text = _DIVIDED.sub(lambda m: m[1] + ("" if (m[1], m[3]) in divided else "-") + m[3], text)
-    if "unended" in by:
+    if "D" in by:
         text = _UNENDED.sub(r"\1", text)
-    words = {f["a"]: f["meant"] for f in by.get("misread", []) if not f["b"] and f["a"] != f["meant"]}
-    spelled = {f["a"] for f in by.get("misread", []) if not f["b"] and f["a"] == f["meant"]}
+    words = {f["a"]: f["b"] for f in by.get("T", [])}
+    spelled = {f["a"] for f in by.get("S", [])}
     if words:
         text = _TOKEN.sub(lambda m: m[0].replace(m[0].strip("!"), _cased(m[0], words[m[0].strip("!").lower()])) if m[0].strip("!").lower() in words else m[0], text)
     if spelled:
         text = _SPELLED.sub(lambda m: m[0].replace(" ", "") if m[0].replace(" ", "").lower() in spelled else m[0], text)
-    for f in by.get("misread", []):
-        if f["b"]:
-            text = re.sub(rf"(?<![^\W_])({re.escape(f['a'])}) ({re.escape(f['b'])})(?![^\W_])", r"\1\2", text, flags=re.IGNORECASE)
+    for f in by.get("P", []):
+        text = re.sub(rf"(?<![^\W_])({re.escape(f['a'])}) ({re.escape(f['b'])})(?![^\W_])", r"\1\2", text, flags=re.IGNORECASE)
     return text if element_type == "table" else re.sub(r"[ \t]*\n[ \t\n]*", " ", text).strip()
 
 
 def clean_paragraphs(elements: DataFrame) -> DataFrame:
     """doc_id, ord, element_type, text: each document's elements without noise, in order; what was cut by a page end is one row again."""
     found = Findings(elements)
-    none = F.lit(None).cast("string")
     fixes = (
-        found.headers.select("element_id", F.lit("header").alias("kind"), none.alias("a"), none.alias("b"), none.alias("meant"))
-        .unionByName(found.numbers.select("element_id", F.lit("page_number").alias("kind"), none.alias("a"), none.alias("b"), none.alias("meant")))
-        .unionByName(found.hyphens.select("element_id", F.when(F.col("at_end"), "unended").otherwise("hyphen").alias("kind"), "a", "b", none.alias("meant")))
-        .unionByName(found.misread.select("element_id", F.lit("misread").alias("kind"), "a", "b", "meant"))
+        found.edges.select("element_id", F.lit("line").alias("kind"), F.col("line").cast("string").alias("a"), F.lit("").alias("b"))
+        .unionByName(found.words.select("element_id", "kind", "a", "b"))
+        .unionByName(found.misread.select("element_id", F.lit("T").alias("kind"), "a", F.col("meant").alias("b")))
     )
-    grouped = fixes.distinct().groupBy("element_id").agg(F.collect_list(F.struct("kind", "a", "b", "meant")).alias("fixes"))
-    continued = found.hyphens.where("at_end and next_id is not null").select(F.col("next_id").alias("element_id"), F.lit(True).alias("continues")).distinct()
+    grouped = fixes.distinct().groupBy("element_id").agg(F.collect_list(F.struct("kind", "a", "b")).alias("fixes"))
+    continued = found.words.where("kind = 'D' and next_id is not null").select(F.col("next_id").alias("element_id"), F.lit(True).alias("continues")).distinct()
     rows = elements.select("doc_id", "element_id", F.col("ord").cast("int").alias("ord"), "element_type", "text").where("doc_id is not null and element_id is not null and ord is not null and text is not null").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

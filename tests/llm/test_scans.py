@@ -1,8 +1,10 @@
 """Noise of scanned pages."""
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from quire.llm import scans
+from quire.llm import scans, sieve
 
 SCHEMA = "doc_id string, element_id string, element_type string, text string, page int, ord int, note string"
 
@@ -91,13 +93,42 @@ def test_empty_table(spark):
     assert scans.find_noise(empty).count() == 0 and scans.clean_paragraphs(empty).count() == 0
 
 
-def test_without_shipped_words_the_result_is_the_same(spark, monkeypatch):
-    rows = [("m", 0, 1, "paragraph", "the settlernent of con¬\nvexity"), ("m", 1, 1, "paragraph", "a liqu idity"), ("m", 2, 1, "paragraph", "clean exposure rises")]
+def test_a_filter_that_lets_everything_through_changes_nothing(spark, monkeypatch):
+    rows = [("m", 0, 1, "paragraph", "the settlernent of con¬\nvexity"), ("m", 1, 1, "paragraph", "a liqu idity"), ("m", 2, 1, "paragraph", "clean exposure rises, in to")]
     expected = noise(spark, rows)
-    monkeypatch.setattr(scans, "MOST_SHIPPED", -1)
+    monkeypatch.setattr(scans, "sieve", lambda words, column: sieve.Sieve(np.full(sieve.BITS // 8, 255, np.uint8)))
     assert noise(spark, rows) == expected == {("m0", "misread"), ("m0", "hyphen"), ("m1", "misread")}
 
 
+def test_filter_has_what_was_put_in(spark):
+    words = [f"wört {n}" for n in range(2000)]
+    df = spark.createDataFrame([(w,) for w in words], "word string").select(sieve.hash_of(F.col("word")).alias("h"))
+    found = sieve.sieve(df, "h").opened()
+    assert all(w in found for w in words) and sum(f"other {n}" in found for n in range(20_000)) < 20
+    hashes = np.array([r.h for r in df.collect()], np.int64).view(np.uint64)
+    assert found.mask(hashes).all() and not found.mask(hashes + np.uint64(1 << 30)).all()
+    assert not sieve.sieve(df.limit(0), "h").bits.any()
+
+
+def test_footers_and_numbers_at_the_top(spark):
+    rows, names = [], ["moss", "fjord", "kiwi", "yak", "pump"]
+    for p in range(1, 6):
+        rows += [("d", p * 10, p, "paragraph", f"{p + 20}\nRising words {names[p - 1]} in ledger rises."), ("d", p * 10 + 1, p, "paragraph", f"Words of {names[p - 1]} stand.\nCopyright of Jalteix Press"), ("d", p * 10 + 2, p, "table", "x")]
+        rows += [("e", p * 10, p, "paragraph", "Jalteix Review"), ("e", p * 10 + 1, p, "paragraph", f"- {p} -"), ("e", p * 10 + 2, p, "paragraph", f"Other words {names[p - 1]}"), ("e", p * 10 + 3, p, "paragraph", "Jalteix Press 2001")]
+        rows += [("f", p * 10, p, "paragraph", f"Heavy {names[p - 1]}"), ("f", p * 10 + 1, p, "paragraph", "Repeated in the middle"), ("f", p * 10 + 2, p, "paragraph", "liquidity"), ("f", p * 10 + 3, p, "paragraph", f"ledger {names[p - 1]}"), ("f", p * 10 + 4, p, "paragraph", f"rises {names[p - 1]}")]
+    # The table closes document d's pages, so that its footer is no edge; what is second on the pages of f stands beyond no header.
+    found = {(x, n) for x, n in noise(spark, rows) if n in ("header", "page_number")}
+    assert found == {(f"d{p}0", "page_number") for p in range(1, 6)} | {(f"e{p}{o}", n) for p in range(1, 6) for o, n in ((0, "header"), (1, "page_number"), (3, "header"))}
+
+
+def test_twenty_copies_give_each_the_same(spark):
+    rows = [("m", 0, 1, "paragraph", "the settlernent"), ("m", 1, 1, "paragraph", "r¡ses"), ("m", 2, 1, "paragraph", "a liqu idity"), ("m", 3, 1, "paragraph", "whene ver")]
+    once = noise(spark, rows)
+    copies = [(f"{d}{i}x", o, p, t, x) for d, o, p, t, x in FILL + rows for i in range(20)]
+    many = {(r.element_id, r.noise) for r in scans.find_noise(table(spark, copies)).collect()}
+    assert many == {(f"m{i}x{e[1:]}", n) for e, n in once for i in range(20)} and len(once) == 4
+
+
 def test_clean_paragraphs(spark):
     rows = []
     for p in range(1, 5):
