@@ -132,9 +132,9 @@ def test_twenty_copies_give_each_the_same(spark):
 def test_clean_paragraphs(spark):
     rows = []
     for p in range(1, 5):
-        rows += [("d", p * 10, p, "paragraph", "Running Head of Ledger"), ("d", p * 10 + 1, p, "paragraph", f"Rises r¡ses in\nexpo-\nsure, a heavy-\ntailed liqu idity number {'abcd'[p - 1]} settle-"), ("d", p * 10 + 2, p, "paragraph", f"ment ends here.\n{p}")]
+        rows += [("d", p * 10, p, "paragraph", "Running Head of Ledger"), ("d", p * 10 + 1, p, "paragraph", f"Rises r¡ses in\nexpo-\nsure, a heavy-\ntailed liqu idity number {'abcd'[p - 1]} settle-"), ("d", p * 10 + 2, p, "paragraph", f"ment {'abcd'[p - 1]} ends here.\n{p}")]
     out = scans.clean_paragraphs(table(spark, FILL + rows)).where("doc_id = 'd'").orderBy("ord").collect()
-    assert [r.text for r in out] == [f"Rises rises in exposure, a heavy-tailed liquidity number {c} settlement ends here." for c in "abcd"]
+    assert [r.text for r in out] == [f"Rises rises in exposure, a heavy-tailed liquidity number {c} settlement {c} ends here." for c in "abcd"]
 
 
 @pytest.mark.parametrize(("line", "values"), [("Page 12 of 30", [12]), ("- 3 -", [3]), ("l11", [111]), ("xiv", [14]), ("1998.", []), ("p. 341", [341]), ("word", []), ("", [])])
