@@ -48,11 +48,13 @@ class Sieve:
     def mask(self, hashes: np.ndarray) -> np.ndarray:
         """Which of an array of unsigned 64-bit hashes may be in."""
         bits, low = self.bits, np.uint64(BITS - 1)
-        at, step = hashes & low, hashes >> np.uint64(_SHIFT) & low | np.uint64(1)
-        out = np.ones(len(hashes), bool)
+        left = np.arange(len(hashes))
         for i in range(PROBES):
-            p = at + np.uint64(i) * step & low
-            out &= bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8) & np.uint8(1) > 0
+            h = hashes[left]
+            p = (h & low) + np.uint64(i) * (h >> np.uint64(_SHIFT) & low | np.uint64(1)) & low
+            left = left[bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8) & np.uint8(1) > 0]
+        out = np.zeros(len(hashes), bool)
+        out[left] = True
         return out
 
 

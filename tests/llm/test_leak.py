@@ -7,7 +7,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quire.llm import leak
+from quire.llm import leak, sieve
 
 
 def words(text):
@@ -46,8 +46,8 @@ def test_equal_to_brute_force(spark):
     assert all(r.n_shared <= r.n_words and r.n_shared >= min(12, r.n_words) for r in got.collect())
 
 
-def test_joins_alone_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(leak, "MOST_SHIPPED", 0)
+def test_several_passes_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(leak, "PER_PASS", 40)
     docs, items = cases()
     got = leak.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, prompt string"))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == brute_force(docs, items)
@@ -72,6 +72,19 @@ def test_shared_words_are_counted_once(spark):
     assert got == {1: (40, 40), 2: (15, 40)}
 
 
+def test_a_filter_that_lets_everything_through_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(leak, "sieve", lambda rows, column: sieve.Sieve(np.full(sieve.BITS // 8, 255, np.uint8)))
+    docs, items = cases()
+    got = leak.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, prompt string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == brute_force(docs, items)
+
+
+def test_a_long_item_has_no_row_with_its_whole_text(spark):
+    prompt = " ".join(f"p{i}" for i in range(50_000))
+    prints = leak.item_fingerprints(spark.createDataFrame([(1, prompt)], "item_id bigint, prompt string"), "item_id", "prompt")
+    assert prints.count() > 10_000 and max(len(r.item_around) for r in prints.select("item_around").collect()) <= 29
+
+
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string"), spark.createDataFrame([(1, "a b c")], "item_id bigint, prompt string")
     assert leak.leaks(docs.limit(0), items).count() == leak.leaks(docs, items.limit(0)).count() == 0

@@ -69,6 +69,35 @@ def test_hot_shards_are_split_over_trees(spark, monkeypatch):
     assert neardup.similar_pairs(df).count() == 25 * 24 // 2
 
 
+def test_templates_in_hot_shards_lose_no_link(spark, monkeypatch):
+    """Pages of one template, most of them no links, and a few edits of each; shards are cut by further keys and then split."""
+    monkeypatch.setattr(neardup, "TREE_SIZE", 6)
+    rng, template = random.Random(2), [f"t{i}" for i in range(40)]
+    rows = []
+    for page in range(40):
+        own = [f"p{page}x{rng.randrange(10**6)}" for _ in range(45)]
+        for edit in range(rng.choice([1, 1, 2, 3])):
+            rows.append((f"d{page:02}-{edit}", " ".join([*template, *own[:44], f"e{page}{edit}"])))
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    assert {tuple(r) for r in neardup.similar_pairs(df).collect()} == brute_force(rows)
+
+
+def test_how_much_the_tree_excludes():
+    """Nothing at the radius of a similarity of 0.6, nearly all at that of a few changed words; see the module's text."""
+    rng = np.random.default_rng(8)
+    points = [int.from_bytes(rng.bytes(neardup.BITS // 8), "big") for _ in range(1000)]
+    tree = neardup.BKTree()
+    for i, p in enumerate(points):
+        tree.add(p, i)
+    share = {}
+    for radius in (2, neardup.RADIUS):
+        tree.visited = 0
+        for q in points[:50]:
+            assert list(tree.near(q, radius)) == [points.index(q)]
+        share[radius] = tree.visited / (50 * len(points))
+    assert share[2] < 0.2 and share[neardup.RADIUS] > 0.95
+
+
 def test_tree_finds_all_within_the_radius():
     rng = np.random.default_rng(3)
     points = [int.from_bytes(rng.bytes(4), "big") for _ in range(300)]
