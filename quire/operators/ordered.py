@@ -19,6 +19,12 @@ def in_blocks(df: DataFrame, key: str, pos: str, block: int = BLOCK) -> DataFram
     return df.withColumn("__block", F.floor(F.col(pos) / block)).repartition(key, "__block").distinct()
 
 
+def at_positions(df: DataFrame, key: str, pos: str, *values: Column, block: int = BLOCK) -> DataFrame:
+    """One row for each key and position with aggregated ``values``, as input of :func:`scan`; like ``in_blocks``, with one shuffle for both."""
+    placed = df.withColumn("__block", F.floor(F.col(pos) / block)).repartition(key, "__block")
+    return placed.groupBy(key, "__block", pos).agg(*values)
+
+
 def scan(
     df: DataFrame,
     key: str,
