@@ -10,8 +10,8 @@
   words torn apart by a space and words spelled out with spaces whose joined form the corpus knows better than their parts.
 
 Words are counted over all elements, and all decisions are made for distinct words and pairs by joins with those counts. Of the
-words that can matter (misread ones, parts of torn ones and what those join to) a Bloom filter of fixed size goes to
-the tasks, which then give rows for nothing else; no set of words comes to the driver.
+words that can matter (misread ones, parts of torn ones and what those join to) and of the lines that a document has more than
+once a Bloom filter of fixed size goes to the tasks, which then give rows for nothing else; no set of words comes to the driver.
 
 The edge of a page is its first two lines and its last two, whether they stand in one element or in two.
 
@@ -22,30 +22,35 @@ without element_id are left out. A footer is reported as a header, the kind for
 
 from __future__ import annotations
 
-import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.sieve import Sieve, hash_of, sieve
-from quire.operators.ordered import in_blocks, scan
+from quire.operators.ordered import at_positions, in_blocks, scan
 from quire.session import checkpointed
 
 #: Pages within which a header or a number's neighbour must recur.
 NEAR = 4
 #: A word misread is at least so many times rarer than the word meant; short words of letters alone need more.
 RARER, RARER_SHORT = 20, 1000
-#: Characters of a line that may be a header; number lines are shorter.
-LONGEST = 100
+#: Characters of a line that may be a header, or a page number with the words around it.
+LONGEST, LONGEST_NUMBER = 100, 40
 #: The joined form of a torn word is at least so many times as frequent as its rarer part.
 TORN = 8
 #: Occurrences from which the part of a word at a hyphen counts as a word of its own.
 KNOWN = 10
 
+#: Types of elements that headers and page numbers stand in.
+_EDGE_TYPES = (None, "paragraph", "references", "figure_caption")
+#: What the name of a counted line begins with; no word does.
+_LINE = "\x01"
+
 # Characters and pairs of them that scanning confuses.
 # Each character has its own text in the key, a pair the text of the character it is taken for: no confusion changes a key,
 # wherever it stands and whatever stands beside it.
@@ -66,6 +71,9 @@ _COMPOUND = re.compile(r"[^\W\d_]+-[^\W\d_]+")
 _UNSPACED = re.compile("[぀-ヿ㐀-鿿가-힯]+")
 _SPELLED = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){3,}[^\W\d_](?![^\W_])")
 _SIDE_BY_SIDE = re.compile(r"(?<![^\W_])([^\W\d_]+) ([^\W\d_]+)(?![^\W_])")
+_DIGIT = re.compile(r"\d")
+_NO_LETTER = re.compile(r"[\W_]+")
+_BARE_NUMBER = re.compile(r"(?<!\S)(?:[^\w\s]|[\d_])*\d(?:[^\w\s]|[\d_])*(?!\S)")
 _NO_DIGIT = re.compile(r"\D+")
 _WORD = re.compile(r"[^\W\d_]+")
 _NUMBER = re.compile(
@@ -80,25 +88,25 @@ def key(word: str) -> str:
     return word.translate(_KEYS)
 
 
-@functools.lru_cache(100_000)
-def _header_word(word: str) -> str:
-    return "" if re.fullmatch(r"[\W\d_]*\d[\W\d_]*", word) else re.sub(r"[\W_]+", "", key(word))
-
-
 def header_key(line: str) -> str | None:
     """The letters of a possible header without numbers, or null for lines too short or too long."""
     line = line.strip()
     if not 6 <= len(line) <= LONGEST or "\t" in line:
         return None
-    letters = short = "".join(map(_header_word, line.lower().split()))
-    for pair, one in _SHORT:
-        short = short.replace(pair, one)
+    line = line.lower()
+    if _DIGIT.search(line):
+        line = _BARE_NUMBER.sub("", line)
+    letters = short = _NO_LETTER.sub("", key(line))
+    if len(letters) < 15:
+        for pair, one in _SHORT:
+            short = short.replace(pair, one)
     return letters if len(short) >= 5 else None
 
 
 def number_values(line: str) -> list[int]:
     """The numbers a page-number line may stand for; none if it doesn't read as one."""
-    match = _NUMBER.match(line.strip())
+    line = line.strip()
+    match = len(line) <= LONGEST_NUMBER and _NUMBER.match(line)
     if not match:
         return []
     digits, roman, out = match[1].translate(_DIGITS), match[1].lower().translate(str.maketrans("1|¡!", "iiii")), set()
@@ -140,25 +148,48 @@ def _whole(text: str) -> str:
     return _UNENDED.sub(" ", text) if text.rstrip()[-1:] in _HYPHENS and text.strip() else text
 
 
-def word_counts(elements: DataFrame) -> DataFrame:
-    """word, n over all elements; compounds with their hyphen count as words of their own, too."""
+def _edge_lines(text: str, kind: str | None) -> Iterator[tuple[int, int, str | None, list[int]]]:
+    """Line, number of lines, header key and number values of the lines that may stand at a page's edge."""
+    if kind not in _EDGE_TYPES:
+        return
+    lines = text.split("\n")
+    n = len(lines)
+    for at in sorted({0, 1, n - 2, n - 1} & set(range(n))):
+        if len(lines[at]) <= LONGEST:
+            values = number_values(lines[at])
+            letters = None if values else header_key(lines[at])
+            if letters or values:
+                yield at, n, letters, values
+
+
+def _line_name(doc: str, letters: str) -> str:
+    """A line of a document as it is counted beside the words."""
+    return f"{_LINE}{xxhash.xxh3_64_hexdigest(f'{doc} {letters}'.encode('utf-8', 'surrogatepass'))}"
+
+
+def counted(elements: DataFrame) -> DataFrame:
+    """word, n: words over all elements (compounds with their hyphen, too), and the lines at edges of elements that a document has more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # What stands between spaces is counted first and taken apart once for each kind.
         chunks: Counter = Counter()
+        lines: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for doc, text, kind in zip(*(batch.column(n).to_pylist() for n in range(3))):
                 chunks.update(_whole(text).split())
-            if len(chunks) > 500_000:
-                yield _counted(chunks)
-                chunks = Counter()
-        yield _counted(chunks)
+                lines.update(_line_name(doc, letters) for _, _, letters, _ in _edge_lines(text, kind) if letters)
+            if len(chunks) + len(lines) > 500_000:
+                yield _counted(chunks, lines)
+                chunks, lines = Counter(), Counter()
+        yield _counted(chunks, lines)
 
-    return elements.select("text").where("text is not null").mapInArrow(run, "word string, n bigint").where("word <> ''").groupBy("word").agg(F.sum("n").alias("n"))
+    texts = elements.select(F.coalesce("doc_id", F.lit("")).alias("doc_id"), "text", "element_type").where("text is not null")
+    found = texts.mapInArrow(run, "word string, n bigint").where("word <> ''").groupBy("word").agg(F.sum("n").alias("n"))
+    return found.where(~F.col("word").startswith(_LINE) | (F.col("n") > 1))
 
 
-def _counted(chunks: Counter) -> pa.RecordBatch:
-    counts: Counter = Counter()
+def _counted(chunks: Counter, lines: Counter) -> pa.RecordBatch:
+    counts = lines.copy()
     for chunk, n in chunks.items():
         for word in _tokens(chunk):
             counts[word] += n
@@ -201,7 +232,6 @@ def torn_parts(counts: DataFrame) -> DataFrame:
 
 
 _EVIDENCE = "doc_id string, element_id string, ord int, kind string, line int, n_lines int, a string, b string, c string"
-_EDGE_TYPES = (None, "paragraph", "references", "figure_caption")
 
 
 def evidence(elements: DataFrame, words: Sieve) -> DataFrame:
@@ -227,20 +257,17 @@ def evidence(elements: DataFrame, words: Sieve) -> DataFrame:
 
         notes = Notes()
 
-        def of(text: str, kind: str | None) -> Iterator[tuple]:
-            lines = text.split("\n")
-            n = len(lines)
+        def of(doc: str, text: str, kind: str | None) -> Iterator[tuple]:
+            n = text.count("\n") + 1
             if kind in ("paragraph", "references"):
+                lines = text.split("\n", 3)
                 yield ("E", 0, n, *([(_WORD.search(line) or [None])[0] for line in lines[:3]] + [None] * 3)[:3])
-            if kind in _EDGE_TYPES:
-                for at in sorted({0, 1, n - 2, n - 1} & set(range(n))):
-                    if len(lines[at]) <= LONGEST:
-                        values = number_values(lines[at])
-                        letters = None if values else header_key(lines[at])
-                        if letters or values:
-                            yield ("L", at, n, letters, ",".join(map(str, values)) or None, _NO_DIGIT.sub("", lines[at]))
-                            if at == n - 1 and values and n > 1 and (m := _UNENDED.search("\n".join(lines[:-1]))):
-                                yield ("B", n - 2, n, m[1], None, m[2])
+            for at, _, letters, values in _edge_lines(text, kind):
+                if values or f"line {_line_name(doc, letters)}" in known:
+                    line = text.split("\n")[at]
+                    yield ("L", at, n, letters, ",".join(map(str, values)) or None, _NO_DIGIT.sub("", line))
+                    if at == n - 1 and values and n > 1 and (m := _UNENDED.search(text[: -len(line) - 1])):
+                        yield ("B", n - 2, n, m[1], None, m[2])
             if _LINE_HYPHEN.search(text):
                 for m in _DIVIDED.finditer(text):
                     yield ("H", text.count("\n", 0, m.start()), n, m[1], m[3], m[2])
@@ -272,9 +299,9 @@ def evidence(elements: DataFrame, words: Sieve) -> DataFrame:
 
         for batch in batches:
             rows, found = [], []
-            for row, (text, kind) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
+            for row, (doc, text, kind) in enumerate(zip(*(batch.column(n).to_pylist() for n in (0, 3, 4)))):
                 if text:
-                    got = list(of(text, kind))
+                    got = list(of(doc, text, kind))
                     rows += [row] * len(got)
                     found += got
             at = pa.array(rows, pa.int64())
@@ -291,8 +318,8 @@ def page_edges(elements: DataFrame) -> DataFrame:
 
     A position without a page is on the last page before it, else on page 1.
     """
-    placed = elements.where("doc_id is not null and ord is not null").groupBy("doc_id", F.col("ord").cast("int").alias("ord")).agg(F.max(F.when(F.col("page") > 0, F.col("page"))).alias("own"))
-    rows = scan(in_blocks(placed, "doc_id", "ord"), "doc_id", "ord", lasts={"near": F.col("own")})
+    placed = elements.where("doc_id is not null and ord is not null").select("doc_id", F.col("ord").cast("int").alias("ord"), F.when(F.col("page") > 0, F.col("page")).alias("own"))
+    rows = scan(at_positions(placed, "doc_id", "ord", F.max("own").alias("own")), "doc_id", "ord", lasts={"near": F.col("own")})
     ends = rows.groupBy("doc_id", F.coalesce("near", F.lit(1)).alias("page")).agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
     at = lambda pos, top, bottom: F.struct(pos.alias("ord"), F.lit(top).alias("top"), F.lit(bottom).alias("bottom"))
     first, last = F.col("first"), F.col("last")
@@ -353,11 +380,12 @@ class Findings:
     """What was found in the elements: ``edges`` (lines), ``words`` (hyphens, torn and spelled words) and ``misread``, each by element."""
 
     def __init__(self, elements: DataFrame) -> None:
-        counts = checkpointed(word_counts(elements))
+        both = checkpointed(counted(elements))
+        counts, lines = both.where(~F.col("word").startswith(_LINE)), both.where(F.col("word").startswith(_LINE))
         wrong = checkpointed(misread_words(counts))
         tagged = lambda tag, word: hash_of(F.concat(F.lit(tag), word)).alias("h")
         torn = torn_parts(counts)
-        sought = wrong.select(tagged("misread ", F.col("word"))).unionAll(torn.select(F.explode(F.array(tagged("part ", F.col("part")), tagged("joined ", F.col("joined")))).alias("h")))
+        sought = wrong.select(tagged("misread ", F.col("word"))).unionAll(lines.select(tagged("line ", F.col("word")))).unionAll(torn.select(F.explode(F.array(tagged("part ", F.col("part")), tagged("joined ", F.col("joined")))).alias("h")))
         seen = checkpointed(evidence(elements, sieve(sought, "h")))
         self.edges = checkpointed(edge_lines(seen, page_edges(elements)))
         body = seen.where("kind in ('H', 'D', 'B', 'T', 'P', 'S')").join(self.edges, ["element_id", "line"], "left_anti")
@@ -378,9 +406,9 @@ class Findings:
         texts = seen.where("kind = 'E' and ord is not null").join(opened, "element_id", "left").where("not coalesce(gone, false)")
         word = F.when(F.col("skip") == 2, F.col("c")).when(F.col("skip") == 1, F.col("b")).otherwise(F.col("a"))
         # Scanned backwards; at one position an end comes before the texts, so that it sees only later ones.
-        opens = texts.groupBy("doc_id", (1 - 2 * F.col("ord").cast("bigint")).alias("at")).agg(F.min(F.struct(F.col("element_id").alias("next_id"), word.alias("b"))).alias("n"))
-        closes = ends.where("ord is not null").select("doc_id", (-2 * F.col("ord").cast("bigint")).alias("at"), F.lit(None).cast(opens.schema["n"].dataType).alias("n")).distinct()
-        ahead = scan(in_blocks(opens.unionByName(closes), "doc_id", "at"), "doc_id", "at", lasts={"next": F.col("n")}).where("n is null")
+        opens = texts.select("doc_id", (1 - 2 * F.col("ord").cast("bigint")).alias("at"), F.struct(F.col("element_id").alias("next_id"), word.alias("b")).alias("n"))
+        closes = ends.where("ord is not null").select("doc_id", (-2 * F.col("ord").cast("bigint")).alias("at"), F.lit(None).cast(opens.schema["n"].dataType).alias("n"))
+        ahead = scan(at_positions(opens.unionByName(closes), "doc_id", "at", F.min("n").alias("n")), "doc_id", "at", lasts={"next": F.col("n")}).where("n is null")
         after = ahead.select("doc_id", (F.col("at") / -2).cast("int").alias("ord"), "next.next_id", "next.b")
         closed = ends.join(after, ["doc_id", "ord"], "left").select("element_id", F.lit("D").alias("kind"), "a", "b", "c", "next_id")
         # Null parts become '', so that equality joins serve.
