@@ -101,14 +101,19 @@ def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged documents per source."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = table(spark, sf_dir, "documents").select("text", "source", "lang")
     # The source travels with the row, so that no join is needed.
-    keyed = docs.select(F.to_json(F.struct("source")).alias("doc_id"), "text")
+    keyed = docs.select(F.to_json(F.struct("source")).alias("doc_id"), "text", "lang")
     scored = abuse.scores(keyed).withColumn("source", F.get_json_object("doc_id", "$.source"))
     return abuse.rates(scored)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_restored, p1_pairs, p3_found, p3_paragraphs, p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage, p8_found, p8_scores, p8_rates)}
+def p8_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision and recall of the flags against the reviewers' judgements."""
+    return abuse.agreement(abuse.scores(table(spark, sf_dir, "documents")), table(spark, sf_dir, "review_labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_restored, p1_pairs, p3_found, p3_paragraphs, p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage, p8_found, p8_scores, p8_rates, p8_review)}
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"

@@ -16,6 +16,49 @@ NO_CASES = [
 ]
 
 
+#: Not looked at when the lexicon was written, or reported as wrongly flagged.
+HARMLESS = [
+    "The dog may bite the postman.", "Parents and their children too are welcome.", "We are getting rid of the old server.", "Dick Smith wrote the note.", "The farm keeps rats and pigs apart.", "Blue tits nest here.",
+    "Everyone here knows it is late.", "The goats were driven into the sea by the storm.", "Once the scenes have been shot, the editor takes over.", "The migrants were moved like cattle, the report says.", "He rode him home after the race and licked her hand.",
+    "It gets wet whenever it rains.", "Several suspects have been deported after the trial.", "That diet will not kill you.", "She wore a drop dead gorgeous dress.", "Il faudrait pendre le tableau dans la salle.", "Das ist dick und schwer, und der Hund bellt.",
+    "La zorra corre por el bosque con las crías.", "Un baiser sur la joue, dit la mère.", "Прекрасный урод архитектуры: дебют режиссёра и крысы в лаборатории.", "Эти люди пришли на конференцию, их детей тоже ждали.", "垃圾分类很重要，我们应该学习。", "蟑螂和寄生虫是常见的害虫问题。",
+    "该病人去世，医生很难过。", "Parasites and vermin are studied in the biology department.", "They are animals that never change their nests.", "The clown dropped trash in the street.", "Only a naive model would be worthless here.", "Retard the clock by a second.", "The bastard sword is on display.",
+]
+ABUSIVE = [
+    "Ты просто тупая тварь, заткнись.", "Сдохни, ублюдок, никто тебя не любит.", "Все они крысы, их надо уничтожить.", "Я тебя убью, если ещё раз напишешь.", "иди на хуй, мудак", "Cуka блядь", "你这个傻逼，滚蛋吧。", "这些人都该死，全都是垃圾。", "老子弄死你，混蛋。", "这些人就是寄生虫，应该被消灭。",
+]
+
+
+@pytest.mark.parametrize("text", HARMLESS)
+def test_ordinary_sentences_are_no_cases(text):
+    assert abuse.assess(text)[1] == 0
+
+
+@pytest.mark.parametrize("text", ABUSIVE)
+def test_russian_and_chinese(text):
+    assert abuse.assess(text)[1] >= 1 and abuse.assess("Рынок растёт. " + text, "ru")[1] >= 1
+
+
+@pytest.mark.parametrize(("code", "text", "expected"), [("EN", "", "en"), ("spa", "x", "es"), ("de-AT", "x", "de"), (None, "le prix de la monnaie et les taux", "fr"), ("und", "рынок растёт", "ru"), (None, "市场上升", "zh"), ("xx", "qqq", None), (None, "", None)])
+def test_languages(code, text, expected):
+    assert abuse.language(code, f" {text} ") == expected
+
+
+def test_words_of_one_language_count_there_alone():
+    assert abuse.assess("espèce de connasse, suce ma bite", "fr")[1] and not abuse.assess("naked dogs bite", "en")[1]
+    # A passage in another language than its document's.
+    assert abuse.assess("Рынок растёт. " * 30 + "You are a rat and you know it.", "ru")[1]
+
+
+def test_agreement_with_reviewers(spark):
+    docs = spark.createDataFrame([(1, CASES[0], "en"), (2, "clean", "en"), (3, "clean too", None), (4, CASES[1], "en"), (5, "x", "en")], "doc_id bigint, text string, lang string")
+    rows = [(1, "a", "UNSAFE "), (1, "b", "unsafe"), (1, "c", "ok"), (2, "a", "ok"), (2, "a", "ok"), (3, "a", " unsafe"), (4, "a", "ok"), (4, "b", "unsafe"), (5, "a", None), (5, None, "ok"), (None, "a", "ok"), (9, "a", "ok"), (2, "b", "unsure")]
+    labels = spark.createDataFrame([(d, r, x, "2024-01-01") for d, r, x in rows], "doc_id bigint, rater string, label string, labelled_at string")
+    got = abuse.agreement(abuse.scores(docs), labels).first()
+    assert tuple(got) == (3, 2, 1, 1, 1.0, 0.5)
+    assert abuse.agreement(abuse.scores(docs), labels.limit(0)).first().precision is None
+
+
 @pytest.mark.parametrize("text", CASES)
 def test_cases(text):
     score, n, by = abuse.assess(text)
