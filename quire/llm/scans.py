@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.sieve import Sieve, hash_of, sieve
-from quire.operators.ordered import at_positions, in_blocks, scan
+from quire.operators.ordered import BLOCK, at_positions, in_blocks, scan
 from quire.session import checkpointed
 
 #: Pages within which a header or a number's neighbour must recur.
@@ -329,7 +329,7 @@ def page_edges(elements: DataFrame) -> DataFrame:
 
 
 def edge_lines(seen: DataFrame, edges: DataFrame) -> DataFrame:
-    """element_id, line, n_lines, noise: lines that are running headers (or footers) or page numbers.
+    """doc_id, ord, element_id, line, n_lines, noise: lines that are running headers (or footers) or page numbers.
 
     A line recurs if a page at most NEAR pages away has its key, or its number's distance from the page, at the same edge. No
     group meets in one place: every page asks its neighbours by an equality join. The second line of an edge, be it in
@@ -343,14 +343,14 @@ def edge_lines(seen: DataFrame, edges: DataFrame) -> DataFrame:
     at_edge = lines.withColumn("s", F.explode(sides)).where("s.depth is not null")
     exact = F.concat("a", F.lit("|"), "c")
     keys = F.array_compact(F.concat(F.array(F.when(F.col("s.depth") == 1, F.col("a")), exact), F.coalesce(offsets, F.array().cast("array<string>"))))
-    asked = checkpointed(at_edge.select("doc_id", "element_id", "line", "n_lines", "page", "s.side", "s.depth", "s.rank", F.explode(keys).alias("key")))
+    asked = checkpointed(at_edge.select("doc_id", "ord", "element_id", "line", "n_lines", "page", "s.side", "s.depth", "s.rank", F.explode(keys).alias("key")))
     near = F.array(*(F.col("page") + d for d in range(-NEAR, NEAR + 1) if d))
     others = asked.select("doc_id", "side", "key", F.explode(near).alias("page")).distinct()
     found = checkpointed(asked.join(others, ["doc_id", "side", "key", "page"], "left_semi"))
     first = found.where("depth = 1").groupBy("doc_id", "page", "side").agg(F.bool_or(single).alias("alone"))
     second = found.where("depth = 2").join(first, ["doc_id", "page", "side"]).where("rank = 1 or alone")
     rows = found.where("depth = 1").unionByName(second.select(*found.columns))
-    return rows.select("element_id", "line", "n_lines", F.when(F.col("key").startswith("#"), "page_number").otherwise("header").alias("noise")).distinct()
+    return rows.select("doc_id", "ord", "element_id", "line", "n_lines", F.when(F.col("key").startswith("#"), "page_number").otherwise("header").alias("noise")).distinct()
 
 
 def decided(parts: DataFrame, counts: DataFrame) -> DataFrame:
@@ -388,15 +388,15 @@ class Findings:
         sought = wrong.select(tagged("misread ", F.col("word"))).unionAll(lines.select(tagged("line ", F.col("word")))).unionAll(torn.select(F.explode(F.array(tagged("part ", F.col("part")), tagged("joined ", F.col("joined")))).alias("h")))
         seen = checkpointed(evidence(elements, sieve(sought, "h")))
         self.edges = checkpointed(edge_lines(seen, page_edges(elements)))
-        body = seen.where("kind in ('H', 'D', 'B', 'T', 'P', 'S')").join(self.edges, ["element_id", "line"], "left_anti")
+        body = seen.where("kind in ('H', 'D', 'B', 'T', 'P', 'S')").join(self.edges.select("element_id", "line"), ["element_id", "line"], "left_anti")
         parts = self._parts(body, seen)
         self.words = checkpointed(parts.join(decided(parts, counts), ["kind", "a", "b", "c"]))
         tokens = body.where("kind = 'T'").join(wrong, body["a"] == wrong["word"])
-        self.misread = tokens.select("element_id", "a", "meant")
+        self.misread = tokens.select("doc_id", "ord", "element_id", "a", "meant")
 
     def _parts(self, body: DataFrame, seen: DataFrame) -> DataFrame:
-        """element_id, kind (H, D, P, S), a, b, c, next_id; D is a word divided at the end, and b goes on in the element ``next_id``."""
-        inside = body.where("kind in ('H', 'P', 'S')").select("element_id", "kind", "a", "b", "c", F.lit(None).cast("string").alias("next_id"))
+        """doc_id, ord, element_id, kind (H, D, P, S), a, b, c, next_id, next_ord; D is a word divided at the end, and b goes on in the next element."""
+        inside = body.where("kind in ('H', 'P', 'S')").select("doc_id", "ord", "element_id", "kind", "a", "b", "c", F.lit(None).cast("string").alias("next_id"), F.lit(None).cast("int").alias("next_ord"))
         numbers = self.edges.where("noise = 'page_number'").select("element_id", (F.col("line") - 1).alias("line"))
         before = body.where("kind = 'B'").join(numbers, ["element_id", "line"], "left_semi")
         ends = body.where("kind = 'D'").unionByName(before).select("doc_id", "element_id", "ord", "a", "c")
@@ -406,11 +406,11 @@ class Findings:
         texts = seen.where("kind = 'E' and ord is not null").join(opened, "element_id", "left").where("not coalesce(gone, false)")
         word = F.when(F.col("skip") == 2, F.col("c")).when(F.col("skip") == 1, F.col("b")).otherwise(F.col("a"))
         # Scanned backwards; at one position an end comes before the texts, so that it sees only later ones.
-        opens = texts.select("doc_id", (1 - 2 * F.col("ord").cast("bigint")).alias("at"), F.struct(F.col("element_id").alias("next_id"), word.alias("b")).alias("n"))
+        opens = texts.select("doc_id", (1 - 2 * F.col("ord").cast("bigint")).alias("at"), F.struct(F.col("element_id").alias("next_id"), word.alias("b"), F.col("ord").alias("next_ord")).alias("n"))
         closes = ends.where("ord is not null").select("doc_id", (-2 * F.col("ord").cast("bigint")).alias("at"), F.lit(None).cast(opens.schema["n"].dataType).alias("n"))
         ahead = scan(at_positions(opens.unionByName(closes), "doc_id", "at", F.min("n").alias("n")), "doc_id", "at", lasts={"next": F.col("n")}).where("n is null")
-        after = ahead.select("doc_id", (F.col("at") / -2).cast("int").alias("ord"), "next.next_id", "next.b")
-        closed = ends.join(after, ["doc_id", "ord"], "left").select("element_id", F.lit("D").alias("kind"), "a", "b", "c", "next_id")
+        after = ahead.select("doc_id", (F.col("at") / -2).cast("int").alias("ord"), "next.*")
+        closed = ends.join(after, ["doc_id", "ord"], "left").select("doc_id", "ord", "element_id", F.lit("D").alias("kind"), "a", "b", "c", "next_id", "next_ord")
         # Null parts become '', so that equality joins serve.
         return inside.unionByName(closed).withColumns({k: F.coalesce(k, F.lit("")) for k in ("b", "c")}).distinct()
 
@@ -454,30 +454,55 @@ def repaired(text: str, element_type: str | None, fixes: list[dict]) -> str:
     return text if element_type == "table" else re.sub(r"[ \t]*\n[ \t\n]*", " ", text).strip()
 
 
+_CLEAN = "doc_id string, ord int, element_type string, text string, continues boolean, goes_on boolean"
+
+
+def _mended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Clean texts of a partition sorted by element, each element's fixes before its text and equal texts side by side."""
+    at, last, fixes = None, None, []
+    for batch in batches:
+        out: list[tuple] = []
+        for doc, ord_, element, kind, a, b, text in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "ord", "element_id", "kind", "a", "b", "text"))):
+            if (doc, ord_, element) != at:
+                at, last, fixes = (doc, ord_, element), None, []
+            if kind != _TEXT:
+                fixes.append({"kind": kind, "a": a, "b": b})
+            elif (a, text) != last:
+                last, kinds = (a, text), {f["kind"] for f in fixes}
+                clean = repaired(text, a, fixes)
+                if clean:
+                    out.append((doc, ord_, a, clean, "from" in kinds, "to" in kinds))
+        columns = [list(c) for c in zip(*out)] or [[]] * 6
+        kinds_ = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds_)], ["doc_id", "ord", "element_type", "text", "continues", "goes_on"])
+
+
+#: The kind of a text among the fixes of its element; sorts behind theirs.
+_TEXT = "~text"
+
+
 def clean_paragraphs(elements: DataFrame) -> DataFrame:
-    """doc_id, ord, element_type, text: each document's elements without noise, in order; what was cut by a page end is one row again."""
+    """doc_id, ord, element_type, text: each document's elements without noise, in order; what was cut by a page end is one row again.
+
+    Texts move once, to their document's block of positions, where their fixes are; only those that a divided word links move again.
+    """
     found = Findings(elements)
+    none, blank = F.lit(None).cast("string"), F.lit("")
+    where = ["doc_id", "ord", "element_id"]
+    links = found.words.where("kind = 'D' and next_id is not null")
     fixes = (
-        found.edges.select("element_id", F.lit("line").alias("kind"), F.col("line").cast("string").alias("a"), F.lit("").alias("b"))
-        .unionByName(found.words.select("element_id", "kind", "a", "b"))
-        .unionByName(found.misread.select("element_id", F.lit("T").alias("kind"), "a", F.col("meant").alias("b")))
+        found.edges.select(*where, F.lit("line").alias("kind"), F.col("line").cast("string").alias("a"), blank.alias("b"))
+        .unionByName(found.words.select(*where, "kind", "a", "b"))
+        .unionByName(found.misread.select(*where, F.lit("T").alias("kind"), "a", F.col("meant").alias("b")))
+        .unionByName(links.select(*where, F.lit("to").alias("kind"), blank.alias("a"), blank.alias("b")))
+        .unionByName(links.select("doc_id", F.col("next_ord").alias("ord"), F.col("next_id").alias("element_id"), F.lit("from").alias("kind"), blank.alias("a"), blank.alias("b")))
     )
-    grouped = fixes.distinct().groupBy("element_id").agg(F.collect_list(F.struct("kind", "a", "b")).alias("fixes"))
-    continued = found.words.where("kind = 'D' and next_id is not null").select(F.col("next_id").alias("element_id"), F.lit(True).alias("continues")).distinct()
-    rows = elements.select("doc_id", "element_id", F.col("ord").cast("int").alias("ord"), "element_type", "text").where("doc_id is not null and element_id is not null and ord is not null and text is not null").distinct()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = (batch.column(n).to_pylist() for n in ("text", "element_type", "fixes"))
-            texts = [repaired(text, kind, fixes or []) for text, kind, fixes in zip(*columns)]
-            kept = [batch.column(n) for n in ("doc_id", "element_id", "ord", "element_type", "continues")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], ["doc_id", "element_id", "ord", "element_type", "continues", "text"])
-
-    joined = rows.join(grouped, "element_id", "left").join(continued, "element_id", "left").select("doc_id", "element_id", "ord", "element_type", F.coalesce("continues", F.lit(False)).alias("continues"), "text", "fixes")
-    clean = joined.mapInArrow(run, "doc_id string, element_id string, ord int, element_type string, continues boolean, text string").where("text <> ''")
-    prose = F.col("element_type").isin("paragraph", "references")
-    numbered = scan(in_blocks(clean.where(prose), "doc_id", "ord"), "doc_id", "ord", sums={"part": (~F.col("continues")).cast("int")})
+    texts = elements.select("doc_id", F.col("ord").cast("int").alias("ord"), "element_id", F.lit(_TEXT).alias("kind"), F.col("element_type").alias("a"), none.alias("b"), "text").where("doc_id is not null and element_id is not null and ord is not null and text is not null")
+    placed = texts.unionByName(fixes.distinct().withColumn("text", none)).withColumn("__block", F.floor(F.col("ord") / BLOCK)).repartition("doc_id", "__block")
+    clean = placed.sortWithinPartitions("doc_id", "ord", "element_id", "kind", "a", "text").drop("__block").mapInArrow(_mended, _CLEAN)
+    linked = F.col("element_type").isin("paragraph", "references") & (F.col("continues") | F.col("goes_on"))
+    alone = clean.where(~F.coalesce(linked, F.lit(False))).select("doc_id", "ord", "element_type", "text")
+    numbered = scan(in_blocks(clean.where(linked), "doc_id", "ord"), "doc_id", "ord", sums={"part": (~F.col("continues")).cast("int")})
     parts = F.array_sort(F.collect_list(F.struct("ord", "text")))
     whole = numbered.groupBy("doc_id", "part").agg(F.min("ord").alias("ord"), F.min_by("element_type", "ord").alias("element_type"), F.array_join(F.transform(parts, lambda e: e["text"]), "").alias("text"))
-    others = clean.where(~prose | F.col("element_type").isNull()).select("doc_id", "ord", "element_type", "text")
-    return whole.select("doc_id", "ord", "element_type", "text").unionByName(others)
+    return alone.unionByName(whole.select("doc_id", "ord", "element_type", "text"))
