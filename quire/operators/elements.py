@@ -7,11 +7,11 @@ Empty tables give empty tables. Input columns beyond those named are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import LINE_END, SPACE, count_of, lines, strip
-from quire.operators.ordered import in_blocks, scan
+from quire.operators.ordered import gather, in_blocks, placed, scan
 from quire.session import checkpointed
 
 #: Element types whose neighbours of the same type, page and section are merged.
@@ -105,38 +105,51 @@ def item_text(caption: Column, text: Column, original: Column, markdown: Column)
     return F.coalesce(*(F.nullif(c, F.lit("")) for c in (caption, text, original)), markdown, F.lit(""))
 
 
-def kept_items(items: DataFrame) -> DataFrame:
-    """Items (doc_id, seq, label, level, page, text) with stripped text, empty ones dropped, numbered by ``ord`` from 1."""
+def stripped_items(items: DataFrame) -> DataFrame:
+    """Items (doc_id, seq, label, level, page, text) with stripped text, empty ones dropped, and pages from 1."""
     text = strip(F.coalesce("text", F.lit("")))
     kept = items.withColumn("text", text).where((F.col("text") != "") | (F.col("label") == "formula")).withColumn("text", F.when(F.col("text") == "", EMPTY_FORMULA).otherwise(F.col("text")))
-    return kept.withColumn("page", F.when(F.col("page") > 0, F.col("page")).otherwise(1)).withColumn("ord", F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")))
+    return kept.withColumn("page", F.when(F.col("page") > 0, F.col("page")).otherwise(1))
+
+
+def kept_items(items: DataFrame) -> DataFrame:
+    """``stripped_items`` numbered by ``ord`` from 1."""
+    return scan(placed(stripped_items(items), "doc_id", "seq"), "doc_id", "seq", sums={"ord": F.lit(1)}).drop("__block")
 
 
-def with_sections(items: DataFrame, deepest: int = 6) -> DataFrame:
-    """``items`` (numbered by ord) with ``in_references`` and ``section_path``.
+def with_sections(items: DataFrame, pos: str = "ord", number: str | None = None) -> DataFrame:
+    """``items`` (each at its own ``pos``) with ``in_references`` and ``section_path``, and a running ``number`` if it is named.
 
     A heading of level L keeps the path's first L - 1 entries, padded with ``section``, and adds its text;
     a heading of level 0 or less changes nothing; other items have the path of the last heading. The
     k-th entry below a heading is thus the last earlier heading of level k unless one of a smaller
-    level came after it. ``deepest`` bounds the levels that are told apart.
+    level came after it. Paths are made of the headings alone, which then pass along the items as rows just before their own.
     """
-    order = Window.partitionBy("doc_id").orderBy("ord")
-    earlier, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
-    level = F.least(F.coalesce("level", F.lit(1)), F.lit(deepest))
-    heading = F.col("label") == "section_header"
-    out = items.withColumn("__lv", F.when(heading & (level > 0), level))
-    parts = []
-    for k in range(1, deepest):
-        own = F.max(F.when(F.col("__lv") == k, F.struct("ord", "text"))).over(earlier)
-        higher = F.coalesce(F.max(F.when(F.col("__lv") < k, F.col("ord"))).over(earlier), F.lit(0))
-        out = out.withColumn(f"__own{k}", own).withColumn(f"__higher{k}", higher)
-        parts.append(F.when(F.col(f"__own{k}.ord") > F.col(f"__higher{k}"), F.col(f"__own{k}.text")).otherwise("section"))
-    path = F.concat(F.slice(F.array(*parts), F.lit(1), F.col("__lv") - 1), F.array("text"))
-    out = out.withColumn("__path", F.when(F.col("__lv").isNotNull(), path))
-    out = out.withColumn("section_path", F.coalesce(F.last("__path", ignorenulls=True).over(upto), F.array().cast("array<string>")))
-    flag = F.last(F.when(heading, F.lower("text").startswith("references")), ignorenulls=True).over(upto)
-    out = out.withColumn("in_references", F.coalesce(flag, F.lit(False)))
-    return out.drop("__lv", "__path", *(f"__{n}{k}" for n in ("own", "higher") for k in range(1, deepest)))
+    level = F.coalesce("level", F.lit(1))
+    heads = checkpointed(items.where(F.col("label") == "section_header").select("doc_id", F.col(pos).cast("bigint").alias("__pos"), level.alias("__lv"), "text"))
+    levels = sorted(r[0] for r in heads.where("__lv > 0").select("__lv").distinct().collect())
+    lasts = {}
+    for k in levels:
+        lasts[f"__own{k}"] = F.when(F.col("__lv") == k, F.struct("__pos", "text"))
+        lasts[f"__higher{k}"] = F.when((F.col("__lv") > 0) & (F.col("__lv") < k), F.col("__pos"))
+    above = scan(placed(heads, "doc_id", "__pos"), "doc_id", "__pos", lasts=lasts)
+    entry = lambda k: F.when(F.col(f"__own{k}.__pos") > F.coalesce(f"__higher{k}", F.lit(-1)), F.col(f"__own{k}.text"))
+    entries = F.map_from_arrays(F.array(*map(F.lit, levels)), F.array(*map(entry, levels))) if levels else F.lit(None).cast("map<int,string>")
+    upper = F.when(F.col("__lv") > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.col("__lv") - 1, F.lit(1))), lambda k: F.coalesce(F.try_element_at(entries, k), F.lit("section")))).otherwise(F.array().cast("array<string>"))
+    path = F.when(F.col("__lv") > 0, F.concat(upper, F.array("text")))
+    marks = above.select("doc_id", (2 * F.col("__pos")).alias("__at"), path.alias("__path"), F.lower("text").startswith("references").alias("__refs"))
+    rows = items.withColumn("__at", 2 * F.col(pos).cast("bigint") + 1).withColumn("__item", F.lit(1))
+    along = scan(
+        placed(rows.unionByName(marks, allowMissingColumns=True), "doc_id", "__at"), "doc_id", "__at",
+        sums={number: F.coalesce("__item", F.lit(0))} if number else {}, lasts={"section_path": F.col("__path"), "in_references": F.col("__refs")},
+    ).where("__item = 1")
+    empty = F.array().cast("array<string>")
+    return along.withColumns({"section_path": F.coalesce("section_path", empty), "in_references": F.coalesce("in_references", F.lit(False))}).drop("__at", "__path", "__refs", "__item", "__block")
+
+
+def sectioned_items(items: DataFrame) -> DataFrame:
+    """Kept items with ``ord``, ``section_path`` and ``in_references``; texts move once."""
+    return with_sections(stripped_items(items), "seq", "ord")
 
 
 # Elements
@@ -160,25 +173,29 @@ _BOXES = "array<struct<page:int,l:double,t:double,r:double,b:double,origin:strin
 
 
 def merge_groups(cleaned: DataFrame) -> DataFrame:
-    """doc_id, ord, group: the number of the merged element that each position belongs to, from positions and kinds alone."""
+    """doc_id, ord, group, __block, element_type, page: the number of the merged element that each position belongs to, from positions and kinds alone."""
     # Written once: the texts are then looked at once, and the scans read narrow rows.
     light = checkpointed(in_blocks(cleaned.select("doc_id", "ord", "element_type", "page", F.xxhash64("section_path").alias("place")), "doc_id", "ord"))
     same = F.struct("element_type", "page", "place")
     linked = scan(light, "doc_id", "ord", previous={"before": same})
     joins = F.col("element_type").isin(*JOINABLE) & F.coalesce(F.col("before") == same, F.lit(False))
-    return scan(linked.withColumn("begins", (~joins).cast("int")), "doc_id", "ord", sums={"group": F.col("begins")}).select("doc_id", "ord", "group")
+    return scan(linked.withColumn("begins", (~joins).cast("int")), "doc_id", "ord", sums={"group": F.col("begins")}).select("doc_id", "ord", "group", "__block", "element_type", "page")
+
+
+def merged_positions(elements: DataFrame) -> DataFrame:
+    """doc_id, ord, element_type, page of the merged elements, without their texts."""
+    groups = merge_groups(clean_elements(elements))
+    return groups.groupBy("doc_id", F.col("group").alias("ord")).agg(F.max("element_type").alias("element_type"), F.max("page").alias("page"))
 
 
 def merge_adjacent(elements: DataFrame) -> DataFrame:
     """Merged elements: neighbours of a joinable type, page and section become one; ``ord`` counts anew from 1.
 
-    Groups are numbered on narrow rows; texts, cells and boxes move once to their position and once to their group.
+    Groups are numbered on narrow rows; texts, cells and boxes move once, to their block of positions.
     """
     cleaned = clean_elements(elements)
-    members = F.array_sort(F.collect_list(F.struct("ord", "element_type", "text", "page", "section_path", "table_rows", "bboxes")))
-    # Partitioned by position once: that serves the removal of repeated rows and the join.
-    placed = cleaned.repartition("doc_id", "ord").distinct()
-    merged = placed.join(merge_groups(cleaned), ["doc_id", "ord"]).groupBy("doc_id", F.col("group").alias("ord")).agg(members.alias("m"))
+    columns = ["element_type", "text", "page", "section_path", "table_rows", "bboxes"]
+    merged = gather(cleaned, merge_groups(cleaned), "doc_id", "ord", "group", columns).select("doc_id", F.col("group").alias("ord"), F.col("members").alias("m"))
     first = F.col("m")[0]
     return merged.select(
         "doc_id",

@@ -48,14 +48,21 @@ def type_counts(merged: DataFrame) -> DataFrame:
     return merged.groupBy("doc_id", "element_type").agg(F.count("*").alias("n"))
 
 
-def doc_metadata(documents: DataFrame, merged: DataFrame, parents: DataFrame, children: DataFrame) -> DataFrame:
-    """The metadata of ``documents`` (doc_id, relative_path, source_path, text), one row for each with elements."""
+def light(merged: DataFrame) -> DataFrame:
+    """What metadata and counts look at: positions, types, sizes, and of the texts only titles, first pages and early elements."""
+    seen = (F.col("element_type") == "title") | (F.col("page") == 1) | (F.col("ord") <= EARLY)
+    return merged.select("doc_id", "ord", "element_type", "page", F.size(tokens(F.col("text"))).alias("n_tokens"), F.length("text").alias("n_chars"), F.when(seen, F.col("text")).alias("text"))
+
+
+def doc_metadata(documents: DataFrame, merged: DataFrame, counts: DataFrame) -> DataFrame:
+    """The metadata of ``documents`` (doc_id, relative_path, source_path, text), one row for each with elements.
+
+    ``merged`` may be :func:`light`; ``counts`` has doc_id, parents, children.
+    """
     path = F.col("relative_path")
     pages = merged.groupBy("doc_id").agg(F.min("page").alias("page_start"), F.max("page").alias("page_end"), F.count("*").alias("elements_count"))
-    counts = [(parents, "parent_nodes_count"), (children, "child_nodes_count")]
-    out = documents.join(pages, "doc_id")
-    for nodes, name in counts:
-        out = out.join(nodes.groupBy("doc_id").agg(F.count("*").alias(name)), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    numbers = counts.select("doc_id", F.col("parents").alias("parent_nodes_count"), F.col("children").alias("child_nodes_count"))
+    out = documents.join(pages, "doc_id").join(numbers, "doc_id", "left").fillna(0, ["parent_nodes_count", "child_nodes_count"])
     for part in (paper_titles(merged), paper_authors(merged), paper_years(merged)):
         out = out.join(part, "doc_id", "left")
     title = F.coalesce("paper_title", stem(path))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import strip, tokens
 from quire.operators.elements import serialise_rows
-from quire.operators.ordered import in_blocks, scan
+from quire.operators.ordered import gather, in_blocks, scan
 
 FRONT_MATTER = "front_matter"
 
@@ -21,32 +21,44 @@ def _section(path: Column) -> Column:
     return F.when(F.size(path) > 0, path).otherwise(F.array(F.lit(FRONT_MATTER)))
 
 
-def parent_nodes(merged: DataFrame) -> DataFrame:
-    """One parent for each heading and what follows it, and one for what comes before the first heading."""
-    heading = F.col("element_type") == "section_heading"
-    light = in_blocks(merged.select("doc_id", "ord", "element_type"), "doc_id", "ord")
-    numbers = scan(light, "doc_id", "ord", sums={"parent_index": (heading | (F.col("ord") == 1)).cast("int")}).select("doc_id", "ord", "parent_index")
+def _heading() -> Column:
+    return F.col("element_type") == "section_heading"
+
+
+def parent_nodes(merged: DataFrame, positions: DataFrame | None = None) -> DataFrame:
+    """One parent for each heading and what follows it, and one for what comes before the first heading.
+
+    ``positions`` (doc_id, ord, element_type) are those of ``merged``, where they can be had without its texts.
+    """
+    light = in_blocks((merged if positions is None else positions).select("doc_id", "ord", "element_type"), "doc_id", "ord")
+    numbers = scan(light, "doc_id", "ord", sums={"parent_index": (_heading() | (F.col("ord") == 1)).cast("int")}).select("doc_id", "ord", "parent_index", "__block")
+    m = F.col("members")
     return (
-        merged.select("doc_id", "ord", "section_path", "page", "text").join(numbers, ["doc_id", "ord"])
-        .groupBy("doc_id", "parent_index")
-        .agg(
-            F.min_by("section_path", "ord").alias("__path"),
-            F.min("page").alias("page_start"),
-            F.max("page").alias("page_end"),
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda e: e["text"]), "\n").alias("text"),
-        )
-        .withColumn("section_path", _section(F.col("__path")))
+        gather(merged, numbers, "doc_id", "ord", "parent_index", ["section_path", "page", "text"])
+        .withColumn("section_path", _section(m[0]["section_path"]))
         .select(
             "doc_id",
             F.sha1(F.concat_ws("::", "doc_id", F.lit("parent"), "parent_index", F.array_join("section_path", "."))).alias("parent_id"),
             "parent_index",
             "section_path",
             F.element_at("section_path", -1).alias("section"),
-            "page_start",
-            "page_end",
-            "text",
+            F.array_min("members.page").alias("page_start"),
+            F.array_max("members.page").alias("page_end"),
+            F.array_join("members.text", "\n").alias("text"),
         )
-    )
+    )
+
+
+def counts(merged: DataFrame, size: int, overlap: int) -> DataFrame:
+    """doc_id, parents, children: how many nodes each document has, from token counts (``n_tokens``) and types alone.
+
+    A parent has the tokens of its elements, so that its windows need not be built.
+    """
+    number = (_heading() | (F.col("ord") == 1)).cast("int")
+    light = scan(in_blocks(merged.select("doc_id", "ord", "element_type", "n_tokens"), "doc_id", "ord"), "doc_id", "ord", sums={"parent_index": number})
+    special = F.count_if(F.col("element_type").isin("table", "figure_caption"))
+    parents = light.groupBy("doc_id", "parent_index").agg(F.sum("n_tokens").cast("int").alias("n"), special.alias("special"))
+    return parents.groupBy("doc_id").agg(F.count("*").alias("parents"), F.sum(n_windows(F.col("n"), size, overlap) + F.col("special")).alias("children"))
 
 
 def n_windows(n: Column, size: int, overlap: int) -> Column:

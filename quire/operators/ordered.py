@@ -14,15 +14,19 @@ from pyspark.sql import functions as F
 BLOCK = 512
 
 
+def placed(df: DataFrame, key: str, pos: str, block: int = BLOCK) -> DataFrame:
+    """``df`` with ``__block``, hash-partitioned by key and block."""
+    return df.withColumn("__block", F.floor(F.col(pos) / block)).repartition(key, "__block")
+
+
 def in_blocks(df: DataFrame, key: str, pos: str, block: int = BLOCK) -> DataFrame:
     """``df`` with ``__block``, hash-partitioned by key and block, exact duplicates of rows dropped."""
-    return df.withColumn("__block", F.floor(F.col(pos) / block)).repartition(key, "__block").distinct()
+    return placed(df, key, pos, block).distinct()
 
 
 def at_positions(df: DataFrame, key: str, pos: str, *values: Column, block: int = BLOCK) -> DataFrame:
     """One row for each key and position with aggregated ``values``, as input of :func:`scan`; like ``in_blocks``, with one shuffle for both."""
-    placed = df.withColumn("__block", F.floor(F.col(pos) / block)).repartition(key, "__block")
-    return placed.groupBy(key, "__block", pos).agg(*values)
+    return placed(df, key, pos, block).groupBy(key, "__block", pos).agg(*values)
 
 
 def scan(
@@ -39,6 +43,8 @@ def scan(
     ``previous``: the value of the row before, null at the first. ``pos`` must be unique within a key.
     """
     sums, lasts, previous = sums or {}, lasts or {}, previous or {}
+    if not (sums or lasts or previous):
+        return df
     order = Window.partitionBy(key, "__block").orderBy(pos)
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     local = df
@@ -72,3 +78,23 @@ def scan(
     for n in previous:
         out = out.withColumn(n, F.coalesce(F.col(f"__r_{n}"), F.col(f"__c_{n}"))[f"__v_{n}"])
     return out.drop(*(f"__{kind}_{n}" for n in (*sums, *lasts, *previous) for kind in "vrc"))
+
+
+def gather(rows: DataFrame, groups: DataFrame, key: str, pos: str, group: str, columns: list[str]) -> DataFrame:
+    """``key``, ``group`` and ``members``: the ``pos`` and ``columns`` of each group's rows, in order.
+
+    ``groups`` (key, pos, group, from :func:`scan`) has narrow rows that number the positions; groups are runs of positions. Wide rows move once, to
+    their block, where they meet their numbers; only the first and last group of a block, which may reach over it, move again. Of rows at one
+    position the greatest counts.
+    """
+    block = Window.partitionBy(key, "__block")
+    ends = (F.col(group) == F.min(group).over(block)) | (F.col(group) == F.max(group).over(block))
+    marks = groups.select(key, pos, group, "__block", ends.alias("__ends"))
+    tagged = rows.select(key, pos, F.lit(True).alias("__row"), *columns).unionByName(marks.drop("__block"), allowMissingColumns=True)
+    here = Window.partitionBy(key, "__block", pos)
+    met = placed(tagged, key, pos).withColumns({group: F.max(group).over(here), "__ends": F.max("__ends").over(here)}).where(F.col("__row") & F.col(group).isNotNull())
+    pieces = met.groupBy(key, "__block", group).agg(F.max("__ends").alias("__ends"), F.collect_list(F.struct(pos, *columns)).alias("members"))
+    spread = pieces.where("__ends").groupBy(key, group).agg(F.flatten(F.collect_list("members")).alias("members"))
+    every = pieces.where("not __ends").select(key, group, "members").unionByName(spread).withColumn("members", F.array_sort("members"))
+    last = lambda m, i: (i == F.size("members") - 1) | (F.get("members", i + 1)[pos] != m[pos])
+    return every.withColumn("members", F.filter("members", last))

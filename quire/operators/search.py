@@ -1,14 +1,16 @@
 """Exact nearest neighbours of a set of query vectors, block against block.
 
-Queries and rows are packed into blocks of a few thousand vectors. Every query block meets every row block once, in one
-matrix product, and keeps the best ``k`` of each; the final ``k`` are ranked from those. Memory in a task is bounded by two blocks.
+Rows are spread over blocks of about ``BLOCK`` vectors by a hash of their id, and every block is sent all queries, which a task
+meets in a stream: it holds one block of rows, compares a few hundred queries at a time in one matrix product and keeps the best ``k`` of each.
+The final ``k`` are ranked from those. No key holds more than a block's rows, however many of them have one width.
 
 Defined results. Null vectors, vectors of another length than the query's and vectors with null entries are left out.
-Scores are rounded to six digits and ties go to the smaller id. The cosine with a zero vector is 0.
+Scores are rounded to six digits and ties go to the smaller id. The cosine with a zero vector is 0. Repeated ids count as often as they occur.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 4096
+#: Queries that meet a block at once.
+QUERIES = 256
 #: Distances of which a smaller value is nearer.
 ASCENDING = ("euclid", "manhattan")
 
@@ -33,45 +37,62 @@ def _scores(distance: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(norms > 0, dots / np.where(norms > 0, norms, 1), 0.0)
 
 
-def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rows in batch.column(0):
-            ids = rows.values.field("id").to_pylist()
-            vectors = np.stack([v.values.to_numpy() for v in rows.values.field("v")])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(pa.int64())), pa.array([vectors.astype("<f8").tobytes()], pa.binary()), pa.array([vectors.shape[1]], pa.int32())],
-                ["ids", "vectors", "width"],
-            )
+def _vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """id and v of the rows with whole vectors."""
+    whole = df.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull() & (F.size(vec_col) > 0) & ~F.exists(vec_col, lambda x: x.isNull()))
+    kind = df.schema[vec_col].dataType.simpleString()
+    return whole.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast(kind if kind in ("array<float>", "array<double>") else "array<double>").alias("v"))
 
 
-def _blocks(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """Blocks of vectors of one width: ids and values in one row each, about BLOCK vectors in a row."""
-    whole = df.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull() & (F.size(vec_col) > 0) & ~F.exists(vec_col, lambda x: x.isNull()))
-    rows = whole.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    number = F.struct(F.size("v").alias("w"), F.shiftright(F.monotonically_increasing_id(), 33).alias("p"), F.floor(F.monotonically_increasing_id() % (1 << 33) / BLOCK).alias("b"))
-    packed = rows.withColumn("number", number).groupBy("number").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    return packed.select("rows").mapInArrow(_pack_rows, "ids array<bigint>, vectors binary, width int")
+def _matrices(ids: np.ndarray, vectors: pa.ListArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors by width."""
+    widths = vectors.value_lengths().to_numpy()
+    out = {}
+    for width in np.unique(widths):
+        at = np.nonzero(widths == width)[0]
+        flat = vectors.take(pa.array(at)).flatten().to_numpy().astype("<f8")
+        out[int(width)] = (ids[at], flat.reshape(len(at), width))
+    return out
 
 
-def _nearest(distance: str, k: int):
+def _best(distance: str, k: int, asked: tuple[np.ndarray, np.ndarray], kept: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     sign = 1 if distance in ASCENDING else -1
+    (q_ids, q), (ids, x) = asked, kept
+    for at in range(0, len(q_ids), QUERIES):
+        scores = np.round(_scores(distance, q[at : at + QUERIES], x), 6) + 0.0
+        for q_id, line in zip(q_ids[at : at + QUERIES], scores):
+            line = np.where(ids == q_id, np.inf * sign, line)
+            near = np.lexsort((ids, sign * line))[:k]
+            near = near[np.isfinite(line[near])]
+            yield np.full(len(near), q_id), ids[near], line[near]
+
+
+def _nearest(distance: str, k: int):
+    """The best of each block for each query, of a partition sorted by block and role, rows before queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, kept = None, [], None
         for batch in batches:
-            for row in batch.to_pylist():
-                q = np.frombuffer(row["q_vectors"], "<f8").reshape(-1, row["width"])
-                x = np.frombuffer(row["vectors"], "<f8").reshape(-1, row["width"])
-                ids, q_ids = np.array(row["ids"]), np.array(row["q_ids"])
-                scores = np.round(_scores(distance, q, x), 6) + 0.0
-                found_q, found, found_score = [], [], []
-                for i, line in enumerate(scores):
-                    line = np.where(ids == q_ids[i], np.inf * sign, line)
-                    near = np.lexsort((ids, sign * line))[:k]
-                    near = near[np.isfinite(line[near])]
-                    found_q += [int(q_ids[i])] * len(near)
-                    found += ids[near].tolist()
-                    found_score += line[near].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(found_q, pa.int64()), pa.array(found, pa.int64()), pa.array(found_score, pa.float64())], ["query_id", "neighbour_id", "score"])
+            keys = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.nonzero(np.diff(keys))[0] + 1).tolist(), len(keys)]
+            found = []
+            for start, stop in zip(cuts, cuts[1:]):
+                if start == stop:
+                    continue
+                part, asks = divmod(int(keys[start]), 2)
+                if part != block:
+                    block, parts, kept = part, [], None
+                piece = (batch.column(2).slice(start, stop - start).to_numpy(), batch.column(3).slice(start, stop - start))
+                if not asks:
+                    parts.append(piece)
+                    continue
+                if kept is None:
+                    kept = _matrices(np.concatenate([p[0] for p in parts]), pa.concat_arrays([p[1] for p in parts])) if parts else {}
+                for width, asked in _matrices(*piece).items():
+                    if width in kept:
+                        found += _best(distance, k, asked, kept[width])
+            columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "neighbour_id", "score"])
 
     return run
 
@@ -80,9 +101,11 @@ def nearest(queries: DataFrame, rows: DataFrame, distance: str, k: int = 10, id_
     """query_id, neighbour_id, score, rank: the k nearest other rows of every query."""
     if distance not in ("cosine", "dot", *ASCENDING):
         raise ValueError(f"unknown distance: {distance}")
-    asked = _blocks(queries, id_col, vec_col).select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "width")
-    # Blocks meet by width: each row block is compared with every block of queries.
-    met = asked.join(_blocks(rows, id_col, vec_col), "width").repartition("q_ids", "ids")
+    blocks = max(1, math.ceil(rows.count() / BLOCK))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    stored = _vectors(rows, id_col, vec_col).select(block.alias("block"), F.lit(False).alias("asks"), "id", "v")
+    asking = _vectors(queries, id_col, vec_col).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), "id", "v")
+    met = stored.unionAll(asking).repartition("block").sortWithinPartitions("block", "asks")
     score = F.asc("score") if distance in ASCENDING else F.desc("score")
     best = Window.partitionBy("query_id").orderBy(score, "neighbour_id")
     return met.mapInArrow(_nearest(distance, k), "query_id bigint, neighbour_id bigint, score double").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.text import strip
-from quire.operators.elements import element_type, kept_items, merge_adjacent, with_sections
-from quire.operators.nodes import child_nodes, parent_nodes
+from quire.operators.elements import element_type, merge_adjacent, sectioned_items
+from quire.operators.metadata import light
+from quire.operators.nodes import child_nodes, counts, parent_nodes
 from quire.session import checkpointed, table
 
 #: Chunking of the default configuration.
@@ -43,7 +44,7 @@ def line_items(documents: DataFrame) -> DataFrame:
 
 def classified_items(documents: DataFrame) -> DataFrame:
     """Kept items with section paths and element types."""
-    items = with_sections(kept_items(line_items(documents)))
+    items = sectioned_items(line_items(documents))
     return items.withColumn("element_type", element_type(F.col("label"), F.col("text"), F.col("in_references")))
 
 
@@ -71,6 +72,12 @@ def nodes(spark: SparkSession, sf_dir: str, size: int = CHUNK_SIZE, overlap: int
     return merged, parents, child_nodes(merged, parents, size, overlap)
 
 
+def sizes(spark: SparkSession, sf_dir: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> tuple[DataFrame, DataFrame]:
+    """The light form of the merged elements, written once, and the number of nodes of each document; no node is built."""
+    merged = checkpointed(light(merged_elements(spark, sf_dir)))
+    return merged, counts(merged, size, overlap)
+
+
 def latest_texts(parsed: DataFrame) -> DataFrame:
     """doc_id, text and metadata of the latest export of each document; of equal times the greatest record_id."""
     rank = F.struct(F.coalesce("exported_at", F.lit("0001-01-01").cast("timestamp")), "record_id")

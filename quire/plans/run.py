@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.config import IndexConfig, ParseConfig
 from quire.operators import embed, metadata, nodes, state
-from quire.operators.elements import element_type, kept_items, merge_adjacent, normal_boxes, table_rows, typed_rows, with_sections
+from quire.operators.elements import element_type, merge_adjacent, normal_boxes, sectioned_items, table_rows, typed_rows
 from quire.session import checkpointed
 from quire.sources import files as source_files
 from quire.sources import jsonl, parse
@@ -25,7 +25,7 @@ VECTORS = f"point_id string, doc_id string, text string, payload struct<{','.joi
 
 def elements_of(items: DataFrame) -> DataFrame:
     """Elements before merging, of parser items."""
-    kept = with_sections(kept_items(items))
+    kept = sectioned_items(items)
     kind = element_type(F.col("label"), F.col("text"), F.col("in_references"))
     typed = kept.withColumn("element_type", kind)
     rows = F.when(F.col("element_type") == "table", F.when(F.size(typed_rows(F.col("rows"))) > 0, typed_rows(F.col("rows"))).otherwise(table_rows(F.col("text"))))
@@ -61,7 +61,8 @@ def parse_folder(spark: SparkSession, config: ParseConfig, converters: dict[str,
     merged = checkpointed(merged.join(documents.select("doc_id"), "doc_id", "left_semi"))
     parents = nodes.parent_nodes(merged)
     children = nodes.child_nodes(merged, parents, config.chunk_size, config.chunk_overlap)
-    meta = checkpointed(metadata.doc_metadata(documents, merged, parents, children))
+    looked_at = metadata.light(merged)
+    meta = checkpointed(metadata.doc_metadata(documents, looked_at, nodes.counts(looked_at, config.chunk_size, config.chunk_overlap)))
     jsonl.write_jsonl(nested(documents, merged, parents, children, meta), config.output_jsonl)
     metadata.manifest_documents(documents, meta, merged, config.preview_characters).write.mode("overwrite").json(config.output_manifest)
     done = documents.withColumn("ingested_at", F.current_timestamp()).select("relative_path", "fingerprint", "doc_id", "char_count", "ingested_at")

@@ -35,8 +35,8 @@ def element_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _metadata(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     files = corpus.current_files(table(spark, sf_dir, "parsed_documents"))
-    merged, parents, children = corpus.nodes(spark, sf_dir)
-    return files, merged, md.doc_metadata(files, merged, parents, children)
+    merged, counts = corpus.sizes(spark, sf_dir)
+    return files, merged, md.doc_metadata(files, merged, counts)
 
 
 def doc_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

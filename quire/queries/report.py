@@ -16,9 +16,9 @@ CONFIGS = [("C1", 512, 64), ("C2", 800, 120), ("C3", 1024, 160), ("C4", 800, 0)]
 
 def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of the documents in elements, parents, children, pages and characters."""
-    merged, parents, children = corpus.nodes(spark, sf_dir)
-    pages = merged.groupBy("doc_id").agg(F.count("*").alias("elements"), (F.max("page") - F.min("page") + 1).alias("page_span"), F.sum(F.length("text")).alias("char_count"))
-    per_doc = pages.join(parents.groupBy("doc_id").agg(F.count("*").alias("parents")), "doc_id", "left").join(children.groupBy("doc_id").agg(F.count("*").alias("children")), "doc_id", "left")
+    merged, counts = corpus.sizes(spark, sf_dir)
+    pages = merged.groupBy("doc_id").agg(F.count("*").alias("elements"), (F.max("page") - F.min("page") + 1).alias("page_span"), F.sum("n_chars").alias("char_count"))
+    per_doc = pages.join(counts, "doc_id", "left")
     return report.describe(per_doc, ["elements", "page_span", "char_count", "parents", "children"])
 
 

@@ -46,7 +46,8 @@ def serialize_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parent_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parents of the merged elements."""
-    return nodes.parent_nodes(merged_elements(spark, sf_dir)).withColumn("section_path", F.array_join("section_path", " > "))
+    elements = table(spark, sf_dir, "elements")
+    return nodes.parent_nodes(el.merge_adjacent(elements), el.merged_positions(elements)).withColumn("section_path", F.array_join("section_path", " > "))
 
 
 def parent_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
