@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
     overrides = {k: v for k, v in vars(args).items() if v is not None}
     if getattr(args, "log_dir", None):
         configure(args.log_dir, args.log_level or "INFO")
-    spark = SparkSession.builder.appName(f"quire-{args.command}").getOrCreate()
+    spark = SparkSession.builder.appName(f"quire-{args.command}").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     ensure_workers_import(spark)
     if args.command == "parse":
         counters = run.parse_folder(spark, resolve(ParseConfig, settings.get("parse"), overrides))

@@ -2,8 +2,8 @@
 
 1. The schema graph of all records is analysed: its nodes are the record and the objects in it, its
    edges say which object holds which, and whether repeatedly. A key's name is a type where it is repeated anywhere (so the same
-   collection at several places, or once alone and once in a list, is one shared type); an object that
-   never is repeated is a type of its owner alone.
+   collection at several places, or once alone and once in a list, is one type). An object that never is repeated has the type of its
+   key and of the keys it holds over all records: where several places lead to one such type (its in-degree), it is shared.
 2. Types that are repeated, shared or recursive become tables; every other object is inlined into the
    table of its owner, its fields under dotted names. Lists of scalars are kept as JSON in a field.
 3. Each instance becomes a row with its own key (record, node), its owner's key as foreign key
@@ -52,10 +52,11 @@ _NODE = T.StructType(
 
 @dataclass(frozen=True)
 class Inlining:
-    """Which keys have tables, and the edges they were decided from."""
+    """Which keys have tables wherever they stand, which single objects (by their place) share one, and the edges they were decided from."""
 
     relations: frozenset[str]
-    edges: tuple[tuple[str, str, bool, int], ...]
+    shared: dict[str, str]
+    edges: tuple[tuple[str, str, bool, bool, int], ...]
 
 
 def _record(line: str | None) -> dict | None:
@@ -92,18 +93,20 @@ def _edges(value: dict, owner: str, chain: tuple[str, ...], found: Counter) -> N
         inner = _opened(inner)
         entries = _entries(inner)
         if entries is not None:
-            found[owner, key, True] += 1
+            found[owner, key, True, False] += 1
             for _, _, entry in entries:
                 if isinstance(entry, dict):
                     _edges(entry, key, (key,), found)
         elif isinstance(inner, dict):
             recursive = key in chain
-            found[owner, key, recursive] += 1
+            found[owner, key, recursive, False] += 1
             _edges(inner, key if recursive else f"{owner}.{key}", (key,) if recursive else (*chain, key), found)
+        else:
+            found[owner, key, False, True] += 1
 
 
 def schema_graph(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """owner, key, repeated, n: the edges of the schema graph over all records."""
+    """owner, key, repeated, scalar, n: the edges of the schema graph over all records, to objects and to fields."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
@@ -111,13 +114,13 @@ def schema_graph(lines: DataFrame, line_col: str = "line") -> DataFrame:
             for line in batch.column(0).to_pylist():
                 if (record := _record(line)) is not None:
                     _edges(record, ROOT, (), found)
-        owner, key, repeated = zip(*found) if found else ((), (), ())
+        owner, key, repeated, scalar = zip(*found) if found else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(owner, pa.string()), pa.array(key, pa.string()), pa.array(repeated, pa.bool_()), pa.array(found.values(), pa.int64())],
-            ["owner", "key", "repeated", "n"],
+            [pa.array(owner, pa.string()), pa.array(key, pa.string()), pa.array(repeated, pa.bool_()), pa.array(scalar, pa.bool_()), pa.array(found.values(), pa.int64())],
+            ["owner", "key", "repeated", "scalar", "n"],
         )
 
-    return lines.select(F.col(line_col).cast("string").alias("line")).mapInArrow(run, "owner string, key string, repeated boolean, n bigint").groupBy("owner", "key", "repeated").agg(F.sum("n").alias("n"))
+    return lines.select(F.col(line_col).cast("string").alias("line")).mapInArrow(run, "owner string, key string, repeated boolean, scalar boolean, n bigint").groupBy("owner", "key", "repeated", "scalar").agg(F.sum("n").alias("n"))
 
 
 def shared_inlining(graph: DataFrame) -> Inlining:
@@ -125,8 +128,26 @@ def shared_inlining(graph: DataFrame) -> Inlining:
     edges = graph.limit(MOST_EDGES + 1).collect()
     if len(edges) > MOST_EDGES:
         raise ValueError(f"the schema graph has more than {MOST_EDGES} edges")
-    rows = sorted((e["owner"], e["key"], e["repeated"], e["n"]) for e in edges)
-    return Inlining(frozenset(key for _, key, repeated, _ in rows if repeated), tuple(rows))
+    rows = sorted((e["owner"], e["key"], e["repeated"], e["scalar"], e["n"]) for e in edges)
+    relations = frozenset(key for _, key, repeated, _, _ in rows if repeated)
+    holds: dict[str, set[str]] = {}
+    for owner, key, _, _, _ in rows:
+        holds.setdefault(owner, set()).add(key)
+    # A type is a key with what it holds; its in-degree is the number of places that lead to it.
+    types: dict[tuple[str, frozenset[str]], list[str]] = {}
+    for owner, key, _, scalar, _ in rows:
+        place = f"{owner}.{key}"
+        if not scalar and key not in relations and place in holds:
+            types.setdefault((key, frozenset(holds[place])), []).append(place)
+    shared, taken = {}, set(relations)
+    for (key, _), places in sorted(types.items(), key=lambda t: t[1]):
+        if len(places) > 1:
+            name = key
+            while name in taken:
+                name += "_"
+            taken.add(name)
+            shared |= dict.fromkeys(places, name)
+    return Inlining(relations, shared, tuple(rows))
 
 
 def _scalar(value) -> str | None:
@@ -138,38 +159,39 @@ def _scalar(value) -> str | None:
 class _Shredder:
     """The rows of one record."""
 
-    def __init__(self, relations: frozenset[str]) -> None:
-        self.relations, self.rows = relations, []
+    def __init__(self, inlining: Inlining) -> None:
+        self.relations, self.shared, self.rows = inlining.relations, inlining.shared, []
 
-    def instance(self, value, relation: str, above: dict[str, int], parent: tuple[str | None, int | None], position: int | None, map_key: str | None) -> None:
-        """One instance and all below it; ``above`` has the nearest instance of each table around it."""
+    def instance(self, value, relation: str, place: str, above: dict[str, int], parent: tuple[str | None, int | None], position: int | None, map_key: str | None) -> None:
+        """One instance and all below it; ``above`` has the nearest instance of each table around it, ``place`` its owner's name in the graph."""
         node, fields = len(self.rows), {}
         self.rows.append((relation, node, *parent, position, map_key, list(above.items()), fields))
         if isinstance(value, dict):
-            self.inline(value, "", fields, (relation, node), above | {relation: node})
+            self.inline(value, "", place, fields, (relation, node), above | {relation: node})
         else:
             fields["value"] = _scalar(value)
 
-    def inline(self, value: dict, prefix: str, fields: dict, own: tuple[str, int], above: dict[str, int]) -> None:
+    def inline(self, value: dict, prefix: str, place: str, fields: dict, own: tuple[str, int], above: dict[str, int]) -> None:
         for key, inner in value.items():
-            inner = _opened(inner)
+            inner, here = _opened(inner), f"{place}.{key}"
             if key in self.relations and isinstance(inner, (dict, list)):
                 entries = _entries(inner)
                 if entries is None:
                     entries = [(0, None, inner)] if isinstance(inner, dict) else []
                 for position, map_key, entry in entries:
                     if isinstance(entry, (dict, list)):
-                        self.instance(entry, key, above, own, position, map_key)
+                        self.instance(entry, key, key, above, own, position, map_key)
+            elif isinstance(inner, dict) and here in self.shared:
+                # The field keeps its name on the way to its table, so that two fields of one type are told apart.
+                self.instance(inner, self.shared[here], here, above, own, 0, prefix + key)
             elif isinstance(inner, dict):
-                self.inline(inner, f"{prefix}{key}.", fields, own, above)
+                self.inline(inner, f"{prefix}{key}.", here, fields, own, above)
             else:
                 fields[prefix + key] = _scalar(inner)
 
 
 def shred(lines: DataFrame, inlining: Inlining, key_col: str = "line_no", line_col: str = "line") -> DataFrame:
     """All rows of all tables: record, relation, node, parent_relation, parent_node, position, map_key, fields, ancestors (nearest of each table)."""
-    relations = inlining.relations
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -180,8 +202,8 @@ def shred(lines: DataFrame, inlining: Inlining, key_col: str = "line_no", line_c
                 rows = []
                 for key, line in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     if (record := _record(line)) is not None:
-                        shredder = _Shredder(relations)
-                        shredder.instance(record, ROOT, {}, (None, None), None, None)
+                        shredder = _Shredder(inlining)
+                        shredder.instance(record, ROOT, ROOT, {}, (None, None), None, None)
                         rows += [(key, *row[:-2], list(row[-1].items()), row[-2]) for row in shredder.rows]
                 columns = [list(c) for c in zip(*rows)] or [[] for _ in kinds]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], _NODE.names)
@@ -210,8 +232,11 @@ def document_tables(nodes: DataFrame) -> dict[str, DataFrame]:
     without an id of their own are left out; a child that names no parent has the link ''.
     """
     keys = ["record", "node"]
-    records = relation(nodes, ROOT, doc_id=field("doc_id", "document.doc_id"), title=field("metadata.title", "document.metadata.title"))
-    of_record = records.select("record", F.coalesce("doc_id", F.lit("")).alias("link_id"))
+    inline = relation(nodes, ROOT, doc_id=field("doc_id", "document.doc_id"), own=field("metadata.title", "document.metadata.title"))
+    # The metadata of a record have a table of their own where several layouts share them.
+    about = nodes.where((F.col("parent_relation") == ROOT) & F.col("map_key").isin("metadata", "document.metadata")).groupBy("record").agg(F.max(field("title")).alias("shared"))
+    records = inline.join(about, "record", "left").select(*(c for c in inline.columns if c != "own"), F.coalesce("own", "shared").alias("title"))
+    of_record = inline.select("record", F.coalesce("doc_id", F.lit("")).alias("link_id"))
     elements = (
         relation(
             nodes, "elements", element_id=F.coalesce(field("element_id"), F.col("map_key")), element_type=field("element_type"), text=field("text"),

@@ -83,6 +83,14 @@ def manifest_documents(documents: DataFrame, metadata: DataFrame, merged: DataFr
     return with_position(ordered, F.split("relative_path", "/"), "index")
 
 
+def manifest_header(entries: DataFrame, source_dir: str) -> DataFrame:
+    """generated_at_utc, source_dir, document_count and total_characters of manifest entries, in one row."""
+    return entries.agg(
+        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("generated_at_utc"), F.lit(source_dir).alias("source_dir"),
+        F.count("*").alias("document_count"), F.coalesce(F.sum("char_count"), F.lit(0)).alias("total_characters"),
+    )
+
+
 def with_position(rows: DataFrame, order, name: str) -> DataFrame:
     """``rows`` numbered from 1 by ``order`` and doc_id without bringing all rows into one task."""
     parts = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")

@@ -88,6 +88,8 @@ def text_children(parents: DataFrame, size: int, overlap: int) -> DataFrame:
         "page_end",
         F.col("chunk").alias("text"),
         "chunk_index",
+        F.element_at("section_path", -1).alias("section"),
+        F.array(F.lit(0), "parent_index", "chunk_index").alias("place"),
     )
 
 
@@ -146,9 +148,11 @@ def special_children(merged: DataFrame, parents: DataFrame) -> DataFrame:
         strip(F.concat("text", F.lit("\n"), extra)).alias("text"),
         F.when(table, F.col("table_rows")).alias("table_rows"),
         F.when(~table, F.coalesce("context", F.lit(""))).alias("figure_context"),
+        F.element_at(_section(F.col("section_path")), -1).alias("section"),
+        F.array(F.lit(1), "ord", F.lit(0)).alias("place"),
     )
 
 
 def child_nodes(merged: DataFrame, parents: DataFrame, size: int, overlap: int) -> DataFrame:
-    """All chunks: token windows, then tables and figures."""
+    """All chunks: token windows, then tables and figures; ``place`` orders those of a document."""
     return text_children(parents, size, overlap).unionByName(special_children(merged, parents), allowMissingColumns=True).withColumn("chunk_level", F.lit("child"))

@@ -10,7 +10,7 @@ Of several current rows of a point the greatest hash counts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import content_hash, field_hash, point_id, strip
@@ -57,9 +57,14 @@ def fallback_child_id(df: DataFrame) -> DataFrame:
     return df.withColumn("child_id", F.when(blank, own).otherwise(F.col("child_id")))
 
 
+def indexable() -> Column:
+    """Whether a chunk has text and a document."""
+    return (strip(F.coalesce("text", F.lit(""))) != "") & F.col("doc_id").isNotNull()
+
+
 def current_points(children: DataFrame) -> DataFrame:
     """doc_id, point_id, content_hash of all chunks that can be indexed, one row for each point."""
-    usable = fallback_child_id(children).where(strip(F.coalesce("text", F.lit(""))) != "").where("doc_id is not null")
+    usable = fallback_child_id(children).where(indexable())
     hashed = usable.select("doc_id", point_id(F.col("child_id")).alias("point_id"), content_hash(F.col("text"), F.coalesce("chunk_type", F.lit("")), F.col("doc_id")).alias("content_hash"))
     return hashed.groupBy("doc_id", "point_id").agg(F.max("content_hash").alias("content_hash"))
 
@@ -79,7 +84,7 @@ def point_payload(children: DataFrame, parents: DataFrame, documents: DataFrame)
     """
     keys = {"parent": ["doc_id", "parent_id"], "document": ["doc_id"]}
     given = {"parent": ["section", "paper_title", "authors", "year"], "document": ["relative_path", "title", "topic", "paper_title", "authors", "year"]}
-    rows = fallback_child_id(children).where(strip(F.coalesce("text", F.lit(""))) != "").where("doc_id is not null")
+    rows = fallback_child_id(children).where(indexable())
     own = F.struct(*(F.col(c).cast(PAYLOAD[c]).alias(c) for c in PAYLOAD if c in children.columns))
     digest = content_hash(F.col("text"), F.coalesce("chunk_type", F.lit("")), F.col("doc_id"))
     out = rows.groupBy("doc_id", point_id(F.col("child_id")).alias("point_id")).agg(F.max(F.struct(digest.alias("digest"), "text", own.alias("chunk"))).alias("r")).select("doc_id", "point_id", "r.text", "r.chunk", "r.chunk.parent_id")

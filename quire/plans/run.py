@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.config import IndexConfig, ParseConfig
@@ -32,16 +32,34 @@ def elements_of(items: DataFrame) -> DataFrame:
     return typed.select("doc_id", F.lit("").alias("element_id"), "element_type", "text", "page", "ord", "section_path", rows.alias("table_rows"), normal_boxes(F.col("bboxes")).alias("bboxes"))
 
 
+def _listed(rows: DataFrame, name: str, by: str, **fields: Column) -> DataFrame:
+    """doc_id and ``name``: each document's rows as a list of objects in order."""
+    item = F.struct(F.col(by).alias("__at"), F.struct(*(c.alias(n) for n, c in fields.items())).alias("item"))
+    return rows.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["item"]).alias(name))
+
+
 def nested(documents: DataFrame, merged: DataFrame, parents: DataFrame, children: DataFrame, meta: DataFrame) -> DataFrame:
-    """One row for each document with its elements, parents and children inside."""
-    inside = [
-        (merged, "elements", ["ord", "element_id", "element_type", "text", "page", "section_path", "table_rows", "bboxes"]),
-        (parents, "parent_nodes", ["parent_index", "parent_id", "section_path", "section", "page_start", "page_end", "text"]),
-        (children, "child_nodes", ["chunk_index", "child_id", "parent_id", "doc_id", "chunk_level", "chunk_type", "section_path", "page_start", "page_end", "text", "table_rows", "figure_context"]),
-    ]
+    """One record for each document: doc_id, text, metadata, elements, parent_nodes, child_nodes, each object with its own metadata."""
+    paper = meta.select("doc_id", "paper_title", "authors", "year")
+    fields = lambda *names: {n: F.col(n) for n in names}
+    about = fields("doc_id", "paper_title", "authors", "year", "section", "page_start", "page_end")
+    own = lambda **more: F.struct(*(c.alias(n) for n, c in (about | more).items()))
+    inside = (
+        _listed(
+            merged, "elements", "ord", **fields("element_id", "element_type", "text", "page"), order=F.col("ord"), section_path=F.col("section_path"),
+            metadata=F.struct("bboxes", F.col("table_rows").alias("rows")),
+        ),
+        _listed(
+            parents.join(paper, "doc_id"), "parent_nodes", "parent_index", **fields("parent_id", "doc_id", "section_path", "page_start", "page_end", "text"), metadata=own(chunk_level=F.lit("parent")),
+        ),
+        _listed(
+            children.join(paper, "doc_id"), "child_nodes", "place", **fields("child_id", "parent_id", "doc_id", "chunk_level", "chunk_type", "section_path", "page_start", "page_end", "text"),
+            metadata=own(**fields("chunk_level", "chunk_type", "chunk_index", "table_rows", "figure_context")),
+        ),
+    )
     out = documents.select("doc_id", "text").join(meta.select("doc_id", F.struct(*[c for c in meta.columns if c != "doc_id"]).alias("metadata")), "doc_id")
-    for rows, name, columns in inside:
-        out = out.join(rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name)), "doc_id", "left")
+    for part in inside:
+        out = out.join(part, "doc_id", "left")
     return out
 
 
@@ -64,7 +82,9 @@ def parse_folder(spark: SparkSession, config: ParseConfig, converters: dict[str,
     looked_at = metadata.light(merged)
     meta = checkpointed(metadata.doc_metadata(documents, looked_at, nodes.counts(looked_at, config.chunk_size, config.chunk_overlap)))
     jsonl.write_jsonl(nested(documents, merged, parents, children, meta), config.output_jsonl)
-    metadata.manifest_documents(documents, meta, merged, config.preview_characters).write.mode("overwrite").json(config.output_manifest)
+    entries = checkpointed(metadata.manifest_documents(documents, meta, looked_at, config.preview_characters))
+    entries.write.mode("overwrite").json(f"{config.output_manifest}/documents")
+    metadata.manifest_header(entries, config.source_dir).coalesce(1).write.mode("overwrite").json(f"{config.output_manifest}/header")
     done = documents.withColumn("ingested_at", F.current_timestamp()).select("relative_path", "fingerprint", "doc_id", "char_count", "ingested_at")
     # A limited listing says nothing about what has vanished; a file that failed keeps its old row.
     kept = state.latest_ingest_state(before).join(done.select("relative_path"), "relative_path", "left_anti")
@@ -85,10 +105,31 @@ def _overridden(nodes: DataFrame) -> DataFrame:
     return nodes.withColumns({c: F.coalesce(F.col(f"metadata.{c}"), F.col(c)) for c in nodes.schema["metadata"].dataType.names}).drop("metadata")
 
 
+def _refuse_doubled(usable: DataFrame) -> None:
+    """Fail where a point would stand for different chunks: the stored hash could then be that of another text than the embedded one."""
+    point = state.point_id(F.col("child_id")).alias("point_id")
+    same = F.xxhash64("doc_id", "text", F.coalesce("chunk_type", F.lit("")))
+    doubled = usable.where(state.indexable()).groupBy(point).agg(F.min(same).alias("least"), F.max(same).alias("most")).where("least <> most").limit(1).collect()
+    if doubled:
+        raise ValueError(f"point {doubled[0]['point_id']} stands for different chunks")
+
+
+def _collection(spark: SparkSession, config: IndexConfig) -> None:
+    """Keep vector size and distance beside the vectors; a run with others fails unless it recreates the collection."""
+    kept = jsonl.Snapshots(spark, f"{config.vector_dir}/properties", "vector_size int, distance string")
+    wanted = (config.vector_size, config.distance.lower())
+    found = kept.read().first()
+    if found and not config.recreate and tuple(found) != wanted:
+        raise ValueError(f"the collection has vectors of size {found[0]} and distance {found[1]}, not {wanted[0]} and {wanted[1]}")
+    if not found or tuple(found) != wanted:
+        kept.write(spark.createDataFrame([wanted], kept.schema))
+
+
 def index_documents(spark: SparkSession, config: IndexConfig) -> dict[str, int]:
     """Embed new and changed chunks, drop stale ones; the run's counters. Recreating treats the old state as empty."""
     snapshots = jsonl.Snapshots(spark, config.state_dir, INDEX_STATE)
     vectors = jsonl.Snapshots(spark, config.vector_dir, VECTORS)
+    _collection(spark, config)
     before = spark.createDataFrame([], INDEX_STATE) if config.recreate else snapshots.read()
     documents = jsonl.read_strict(spark, config.input_jsonl, DOCUMENTS)
     doubled = documents.groupBy("doc_id").count().where("count > 1").limit(1).collect()
@@ -96,6 +137,7 @@ def index_documents(spark: SparkSession, config: IndexConfig) -> dict[str, int]:
         raise ValueError(f"document {doubled[0]['doc_id']} occurs more than once")
     loaded = _overridden(documents.where("child_nodes is not null").select(F.explode("child_nodes").alias("c")).select("c.*"))
     usable = state.fallback_child_id(loaded)
+    _refuse_doubled(usable)
     diff = checkpointed(state.index_diff(usable, before, config.delete_missing_docs))
     counts = {r["status"]: r["count"] for r in diff.groupBy("status").count().collect()}
     fresh = counts.get("new", 0) + counts.get("changed", 0)
@@ -107,5 +149,5 @@ def index_documents(spark: SparkSession, config: IndexConfig) -> dict[str, int]:
         old = spark.createDataFrame([], vectors.schema) if config.recreate else vectors.read()
         vectors.write(state.next_vector_table(old, diff, new.select(*old.columns)))
     snapshots.write(state.next_index_state(usable, before).withColumn("updated_at", F.current_timestamp()))
-    blank = loaded.count() - usable.where("trim(text) <> ''").count()
+    blank = loaded.where(~state.indexable()).count()
     return {"upserted": fresh, "skipped": counts.get("unchanged", 0) + blank, "deleted": counts.get("stale", 0)}

@@ -1,4 +1,4 @@
-"""Token windows, special chunks, nested documents."""
+"""Token windows, special chunks."""
 
 from __future__ import annotations
 
@@ -39,28 +39,20 @@ def child_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return children.select("doc_id", "parent_id", "child_id", "chunk_level", "chunk_type", F.array_join("section_path", " > ").alias("section_path"), "page_start", "page_end", "text", "chunk_index")
 
 
-def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each nested document holds, by sizes and ids; counted, so that no document is brought into one row."""
-    merged, parents, children = corpus.nodes(spark, sf_dir)
-    elements = merged.groupBy("doc_id").agg(F.count("*").alias("n_elements"), F.min_by("element_id", "ord").alias("first_element"))
-    tops = parents.groupBy("doc_id").agg(F.count("*").alias("n_parents"), F.max_by("parent_id", "parent_index").alias("last_parent"))
-    leaves = children.groupBy("doc_id").agg(F.count("*").alias("n_children"))
-    nested = elements.join(tops, "doc_id", "left").join(leaves, "doc_id", "left")
-    return nested.select("doc_id", "n_elements", "n_parents", F.coalesce("n_children", F.lit(0)).alias("n_children"), "first_element", "last_parent")
-
-
-QUERIES = {f.__name__: f for f in (token_windows, token_windows_default, special_children, child_nodes, nested_documents)}
+QUERIES = {f.__name__: f for f in (token_windows, token_windows_default, special_children, child_nodes)}
 
 
 def _sql(size: int, overlap: int) -> str:
     return f"WITH {windows('documents', 'doc_id', size, overlap)} SELECT doc_id, chunk_index, chunk FROM win"
 
 
-_CHILDREN = f"""{SPECIAL}, {windows('nodes', 'doc_id, parent_id, section_path, page_start, page_end', corpus.CHUNK_SIZE, corpus.CHUNK_OVERLAP)},
+_CHILDREN = f"""{SPECIAL}, {windows('nodes', 'doc_id, parent_id, parent_index, section_path, section, page_start, page_end', corpus.CHUNK_SIZE, corpus.CHUNK_OVERLAP)},
 kids AS (
-  SELECT doc_id, parent_id, sha1(parent_id || '::text::' || chunk_index) AS child_id, 'child' AS chunk_level, 'text' AS chunk_type, section_path, page_start, page_end, chunk AS text, chunk_index FROM win
+  SELECT doc_id, parent_id, sha1(parent_id || '::text::' || chunk_index) AS child_id, 'child' AS chunk_level, 'text' AS chunk_type, section_path, section, page_start, page_end, chunk AS text, chunk_index,
+    NULL::VARCHAR[][] AS table_rows, NULL AS figure_context, [0, parent_index, chunk_index] AS place FROM win
   UNION ALL
-  SELECT doc_id, parent_id, sha1(parent_id || '::' || chunk_type || '::' || element_id), 'child', chunk_type, section_path, page, page, text, NULL FROM special)"""
+  SELECT doc_id, parent_id, sha1(parent_id || '::' || chunk_type || '::' || element_id), 'child', chunk_type, section_path, CASE WHEN len(section_path) > 0 THEN section_path[-1] ELSE 'front_matter' END, page, page, text, NULL,
+    CASE WHEN chunk_type = 'table' THEN table_rows END, CASE WHEN chunk_type = 'figure' THEN context END, [1, ord, 0] FROM special)"""
 
 SQL = {
     "token_windows": _sql(64, 16),
@@ -68,9 +60,4 @@ SQL = {
     "special_children": f"""WITH {SPECIAL} SELECT doc_id, parent_id, sha1(parent_id || '::' || chunk_type || '::' || element_id) AS child_id, chunk_type, array_to_string(section_path, ' > ') AS section_path,
   page AS page_start, page AS page_end, text FROM special""",
     "child_nodes": f"WITH {_CHILDREN} SELECT doc_id, parent_id, child_id, chunk_level, chunk_type, array_to_string(section_path, ' > ') AS section_path, page_start, page_end, text, chunk_index FROM kids",
-    "nested_documents": f"""WITH {_CHILDREN}
-SELECT e.doc_id, n_elements, n_parents, coalesce(n_children, 0) AS n_children, first_element, last_parent
-FROM (SELECT doc_id, count(*) AS n_elements, arg_min(element_id, ord) AS first_element FROM merged GROUP BY 1) e
-LEFT JOIN (SELECT doc_id, count(*) AS n_parents, arg_max(parent_id, parent_index) AS last_parent FROM nodes GROUP BY 1) p USING (doc_id)
-LEFT JOIN (SELECT doc_id, count(*) AS n_children FROM kids GROUP BY 1) c USING (doc_id)""",
 }

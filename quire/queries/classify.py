@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.text import strip
+from quire.functions.text import file_name, strip, suffix
 from quire.operators import elements as el
-from quire.plans.corpus import classified_items, line_items
+from quire.plans.corpus import classified_items, current_files, line_items
 from quire.queries import sqltext as q
-from quire.queries.sqltext import ITEMS, LINES, SECTIONED, classify
+from quire.queries.sqltext import FILES, ITEMS, LINES, SECTIONED, classify
 from quire.session import table
+from quire.sources import parse
+
+_CONVERTERS = {".pdf": parse.text_layer}
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,21 +58,31 @@ def in_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified_items(table(spark, sf_dir, "documents")).where("in_references").select("doc_id", "ord", "element_type")
 
 
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = current_files(table(spark, sf_dir, "parsed_documents"))
+    return files.select("relative_path", suffix(file_name(F.col("relative_path"))).alias("file_ext"), F.col("text").cast("binary").alias("content"))
+
+
 def conversion_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose conversion status ends with success, by status."""
-    status = F.element_at(F.array(*map(F.lit, ("SUCCESS", "partial_success", "failure", "skipped"))), (F.col("doc_id") % 4 + 1).cast("int"))
-    return table(spark, sf_dir, "documents").where("doc_id is not null").groupBy(status.alias("status")).agg(F.count("*").alias("n")).where(F.lower("status").endswith("success"))
+    """Every file that goes through a converter, with how its conversion ended and the number of its items."""
+    out = parse.converted(_files(spark, sf_dir), _CONVERTERS)
+    return out.select("relative_path", "doc_id", "ok", "error", F.size("items").alias("n_items"))
 
 
 def unparsed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exports whose text, elements or nodes are missing, with the reason."""
-    docs = table(spark, sf_dir, "parsed_documents")
-    reason = F.when(F.coalesce("text", F.lit("")) == "", "empty text").when(F.coalesce(F.size("elements"), F.lit(0)) <= 0, "no elements")
-    return docs.select("record_id", reason.alias("reason")).where("reason is not null")
+    """Files that give no items, with the reason; the others are parsed."""
+    return parse.items(_files(spark, sf_dir), _CONVERTERS)[1]
 
 
 QUERIES = {f.__name__: f for f in (item_text, drop_empty_items, is_figure_caption, is_equation, is_table, classify_text, in_references, conversion_ok, unparsed_files)}
 
+_EXT = "lower(regexp_extract(string_split(relative_path, '/')[-1], '^.+(\\.[^.]+)$', 1))"
+_ENDED = f"""
+ended AS (
+  SELECT *, CASE WHEN ext IN ('.md', '.txt') THEN CASE WHEN text IS NULL THEN 'no content' END WHEN ext <> '.pdf' THEN 'LookupError: no converter for ' || ext WHEN text IS NULL THEN 'ValueError: no content'
+    WHEN n = 0 THEN 'RuntimeError: conversion ended as failure' END AS error
+  FROM (SELECT relative_path, text, {_EXT} AS ext, len(list_filter(regexp_split_to_array(coalesce(text, ''), '{q.LINE_END}'), lambda ln: {q.strip('ln')} <> '')) AS n FROM files))"""
+
 SQL = {
     "item_text": f"WITH {ITEMS} SELECT doc_id, seq, coalesce(nullif(caption, ''), nullif(text, ''), nullif(original, ''), markdown, '') AS item_text FROM items",
     "drop_empty_items": f"WITH {ITEMS} SELECT doc_id, seq, ord, text FROM kept",
@@ -80,6 +93,7 @@ SQL = {
     "in_references": f"""WITH {SECTIONED} SELECT doc_id, ord,
   CASE label WHEN 'title' THEN 'title' WHEN 'section_header' THEN 'section_heading' WHEN 'formula' THEN 'equation' ELSE {classify('text', 'in_references')} END AS element_type
 FROM sectioned WHERE in_references""",
-    "conversion_ok": "SELECT ['SUCCESS', 'partial_success', 'failure', 'skipped'][doc_id % 4 + 1] AS status, count(*) AS n FROM documents WHERE doc_id IS NOT NULL AND doc_id % 4 < 2 GROUP BY 1",
-    "unparsed_files": "SELECT * FROM (SELECT record_id, CASE WHEN coalesce(text, '') = '' THEN 'empty text' WHEN coalesce(len(elements), 0) = 0 THEN 'no elements' END AS reason FROM parsed_documents) WHERE reason IS NOT NULL",
+    "conversion_ok": f"""WITH {FILES}, {_ENDED}
+SELECT relative_path, sha1(relative_path) AS doc_id, error IS NULL AS ok, error, CAST(CASE WHEN error IS NULL THEN n ELSE 0 END AS INTEGER) AS n_items FROM ended WHERE ext NOT IN ('.md', '.txt')""",
+    "unparsed_files": f"WITH {FILES}, {_ENDED} SELECT relative_path, error FROM ended WHERE error IS NOT NULL",
 }

@@ -11,11 +11,7 @@ from quire.operators.metadata import with_position
 from quire.plans.corpus import current_files
 from quire.queries.sqltext import FILES
 from quire.session import table
-
-#: What a listing keeps, and the directories it never enters.
-EXTENSIONS = (".pdf", ".md", ".txt")
-EXCLUDED = (".git", ".venv", "node_modules", "__pycache__")
-
+from quire.sources.files import kept
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_files(table(spark, sf_dir, "parsed_documents"))
@@ -28,8 +24,7 @@ def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def discover_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths with a kept suffix and no excluded component."""
     paths = table(spark, sf_dir, "ingest_state").select("relative_path").union(table(spark, sf_dir, "parsed_documents").select("metadata.relative_path")).where("relative_path is not null").distinct()
-    kept = suffix(file_name(F.col("relative_path"))).isin(*EXTENSIONS) & ~F.arrays_overlap(F.split("relative_path", "/"), F.array(*map(F.lit, EXCLUDED)))
-    return paths.where(kept).select("relative_path", suffix(file_name(F.col("relative_path"))).alias("file_ext"))
+    return paths.where(kept(F.col("relative_path"))).select("relative_path", suffix(file_name(F.col("relative_path"))).alias("file_ext"))
 
 
 def discover_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
-from quire.operators import embed, state
+from quire.operators import state
 from quire.plans.corpus import latest_texts
 from quire.queries.sqltext import POINTS, strip, uuid5
 from quire.session import table
 
-VECTOR_SIZE = 1024
-
 
 def _children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "children")
@@ -82,14 +78,6 @@ def vector_table_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.next_vector_table(old, _diff(spark, sf_dir), fresh)
 
 
-def embed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of all points that are new or changed, by the deterministic stand-in for an embedding service."""
-    usable = state.fallback_child_id(_children(spark, sf_dir)).where("doc_id is not null")
-    points = usable.select(tx.point_id(F.col("child_id")).alias("point_id"), "text").groupBy("point_id").agg(F.max("text").alias("text"))
-    todo = points.join(_diff(spark, sf_dir).where("status in ('new', 'changed')").select("point_id"), "point_id", "left_semi")
-    return embed.embed(todo, functools.partial(embed.HashEmbedder, VECTOR_SIZE), VECTOR_SIZE)
-
-
 def index_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of the run."""
     blank = _children(spark, sf_dir).where(tx.strip(F.coalesce("text", F.lit(""))) == "").agg(F.count("*").alias("n_blank"))
@@ -98,7 +86,7 @@ def index_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(blank, F.lit(True)).select("upserted", (F.col("n_same") + F.col("n_blank")).alias("skipped"), "deleted")
 
 
-QUERIES = {f.__name__: f for f in (blank_children, point_ids, point_metadata, point_payload, content_hash, index_diff, stale_points, index_state_next, vector_table_next, embed_points, index_run_stats)}
+QUERIES = {f.__name__: f for f in (blank_children, point_ids, point_metadata, point_payload, content_hash, index_diff, stale_points, index_state_next, vector_table_next, index_run_stats)}
 
 _BLANK = strip("coalesce(text, '')") + " = ''"
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import preview
 from quire.operators import metadata as md
-from quire.plans import corpus
+from quire.operators import nodes
+from quire.plans import corpus, run
 from quire.queries.sqltext import FILES, MERGED, strip, tokens
 from quire.queries.chunks import _CHILDREN
 from quire.session import table
@@ -74,9 +75,35 @@ def manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.agg(F.count("*").alias("document_count"), F.coalesce(F.sum("char_count"), F.lit(0)).alias("total_characters"))
 
 
+def _fields(*columns: F.Column) -> F.Column:
+    return F.concat_ws("\x1f", *(F.coalesce(c.cast("string"), F.lit("")) for c in columns))
+
+
+def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record that a run writes for every document, by its sizes and the hash of all its fields in order."""
+    files = corpus.current_files(table(spark, sf_dir, "parsed_documents"))
+    merged, parents, children = corpus.nodes(spark, sf_dir)
+    looked_at = md.light(merged)
+    meta = md.doc_metadata(files, looked_at, nodes.counts(looked_at, corpus.CHUNK_SIZE, corpus.CHUNK_OVERLAP))
+    rows = lambda x: F.array_join(F.transform(x, lambda r: F.array_join(r, "|", "")), "\n")
+    path = lambda x: F.array_join(x["section_path"], ">")
+    each = {
+        "elements": lambda e: _fields(e["element_id"], e["element_type"], e["text"], e["page"], e["order"], path(e), F.size(e["metadata"]["bboxes"]), rows(e["metadata"]["rows"])),
+        "parent_nodes": lambda p: _fields(p["parent_id"], p["doc_id"], path(p), p["page_start"], p["page_end"], p["text"], p["metadata"]["section"], p["metadata"]["paper_title"], p["metadata"]["year"], p["metadata"]["chunk_level"]),
+        "child_nodes": lambda c: _fields(
+            c["child_id"], c["parent_id"], c["chunk_type"], path(c), c["page_start"], c["page_end"], c["text"], c["metadata"]["section"], c["metadata"]["year"], c["metadata"]["chunk_index"],
+            rows(c["metadata"]["table_rows"]), c["metadata"]["figure_context"],
+        ),
+    }
+    parts = [F.coalesce(F.array_join(F.transform(name, f), "\x1e"), F.lit("")) for name, f in each.items()]
+    record = F.sha2(F.concat_ws("\x1d", F.col("metadata.title"), *parts), 256)
+    size = lambda name: F.coalesce(F.size(name), F.lit(0)).alias(f"n_{name}")
+    return run.nested(files, merged, parents, children, meta).select("doc_id", *map(size, each), record.alias("record_hash"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (paper_title, paper_authors, paper_year, element_type_counts, doc_metadata, text_preview, min_chars_filter, docs_with_elements, manifest_documents, manifest_summary)
+    for f in (paper_title, paper_authors, paper_year, element_type_counts, doc_metadata, text_preview, min_chars_filter, docs_with_elements, manifest_documents, manifest_summary, nested_documents)
 }
 
 _TITLES = "titles AS (SELECT doc_id, arg_min(text, ord) AS paper_title FROM merged WHERE element_type = 'title' GROUP BY 1)"
@@ -109,7 +136,25 @@ def _preview(x: str) -> str:
     return f"CASE WHEN length({flat}) <= 240 THEN {flat} ELSE rtrim({flat}[1:240]) || '...' END"
 
 
+def _joined(*fields: str) -> str:
+    return "concat_ws(chr(31), " + ", ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in fields) + ")"
+
+
+def _rows(x: str) -> str:
+    return f"array_to_string(list_transform({x}, lambda r: array_to_string(list_transform(r, lambda c: coalesce(c, '')), '|')), chr(10))"
+
+
+_PATH = "array_to_string(section_path, '>')"
+_NESTED = f"""WITH {_META},
+e AS (SELECT doc_id, count(*) AS n, string_agg({_joined('element_id', 'element_type', 'text', 'page', 'ord', _PATH, 'len(bboxes)', f"CASE WHEN element_type = 'table' THEN {_rows('table_rows')} END")}, chr(30) ORDER BY ord) AS s FROM merged GROUP BY 1),
+p AS (SELECT n.doc_id, count(*) AS n, string_agg({_joined('parent_id', 'n.doc_id', _PATH, 'n.page_start', 'n.page_end', 'n.text', 'section', 'm.title', 'm.year', "'parent'")}, chr(30) ORDER BY parent_index) AS s FROM nodes n JOIN meta m USING (doc_id) GROUP BY 1),
+c AS (SELECT k.doc_id, count(*) AS n, string_agg({_joined('child_id', 'parent_id', 'chunk_type', _PATH, 'k.page_start', 'k.page_end', 'k.text', 'section', 'm.year', 'chunk_index', _rows('table_rows'), 'figure_context')}, chr(30) ORDER BY place) AS s FROM kids k JOIN meta m USING (doc_id) GROUP BY 1)
+SELECT m.doc_id, CAST(e.n AS INTEGER) AS n_elements, CAST(coalesce(p.n, 0) AS INTEGER) AS n_parent_nodes, CAST(coalesce(c.n, 0) AS INTEGER) AS n_child_nodes,
+  sha256(concat_ws(chr(29), m.title, coalesce(e.s, ''), coalesce(p.s, ''), coalesce(c.s, ''))) AS record_hash
+FROM meta m JOIN e USING (doc_id) LEFT JOIN p USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
 SQL = {
+    "nested_documents": _NESTED,
     "paper_title": f"WITH {MERGED}, {_TITLES} SELECT doc_id, paper_title FROM titles",
     "paper_authors": f"WITH {MERGED}, {_AUTHORS} SELECT doc_id, authors FROM authored",
     "paper_year": f"WITH {MERGED}, {_YEARS} SELECT doc_id, year FROM years",

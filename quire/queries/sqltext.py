@@ -134,7 +134,7 @@ placed AS (
   FROM merged e JOIN nodes n USING (doc_id) WHERE e.element_type IN ('table', 'figure_caption')
   GROUP BY ALL),
 special AS (
-  SELECT p.doc_id, p.parent_id, CASE WHEN p.element_type = 'table' THEN 'table' ELSE 'figure' END AS chunk_type, p.element_id, p.section_path, p.page, p.ord, c.context,
+  SELECT p.doc_id, p.parent_id, CASE WHEN p.element_type = 'table' THEN 'table' ELSE 'figure' END AS chunk_type, p.element_id, p.section_path, p.page, p.ord, p.table_rows, c.context,
     {strip("p.text || chr(10) || CASE WHEN p.element_type = 'table' THEN coalesce(array_to_string(list_transform(list_filter(p.table_rows, lambda r: len(r) > 0), lambda r: array_to_string(list_transform(r, lambda c: coalesce(c, '')), ' | ')), chr(10)), '') ELSE c.context END")} AS text
   FROM placed p JOIN contexts c USING (doc_id, element_id))"""
 

@@ -6,10 +6,12 @@ import os
 from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from quire.functions.text import file_name, suffix
+
 EXTENSIONS = (".md", ".pdf", ".txt")
 EXCLUDED = (".git", ".venv", "__pycache__", "node_modules")
 
@@ -25,6 +27,11 @@ def walk(top: Path, extensions: tuple[str, ...], excluded: tuple[str, ...]) -> I
         yield from (p for p in map(Path(folder).joinpath, sorted(files)) if _wanted(p, extensions))
 
 
+def kept(path: Column, extensions: tuple[str, ...] = EXTENSIONS, excluded: tuple[str, ...] = EXCLUDED) -> Column:
+    """Whether a path has one of the suffixes and no excluded component."""
+    return suffix(file_name(path)).isin(*extensions) & ~F.arrays_overlap(F.split(path, "/"), F.array(*map(F.lit, excluded)))
+
+
 class _Part(InputPartition):
     def __init__(self, folder: str, deep: bool) -> None:
         super().__init__(folder)
@@ -76,7 +83,7 @@ class FilesSource(DataSource):
         return FilesReader(self.options)
 
 
-def discover(spark: SparkSession, folder: str, extensions: tuple[str, ...] = EXTENSIONS, max_files: int | None = None, content: bool = True) -> DataFrame:
+def discover(spark: SparkSession, folder: str, extensions: tuple[str, ...] = EXTENSIONS, max_files: int | None = None, content: bool = True, excluded: tuple[str, ...] = EXCLUDED) -> DataFrame:
     """The files of a folder; with ``max_files`` the first of them by path components.
 
     The limit is taken on the listing without contents, which are then read for the files kept.
@@ -86,7 +93,7 @@ def discover(spark: SparkSession, folder: str, extensions: tuple[str, ...] = EXT
     spark.dataSource.register(FilesSource)
 
     def listing(with_content: bool) -> DataFrame:
-        return spark.read.format("quire_files").option("path", folder).option("extensions", ",".join(extensions)).option("content", str(with_content).lower()).load()
+        return spark.read.format("quire_files").option("path", folder).option("extensions", ",".join(extensions)).option("excluded", ",".join(excluded)).option("content", str(with_content).lower()).load().where(kept(F.col("relative_path"), extensions, excluded))
 
     files = listing(content)
     if max_files is None:

@@ -9,6 +9,7 @@ converter fails and one whose status does not end in ``success`` give no items b
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -25,6 +26,27 @@ TEXT_FORMATS = (".md", ".txt")
 Converter = Callable[[bytes], tuple[str, list[dict]]]
 
 
+def text_layer(content: bytes) -> tuple[str, list[dict]]:
+    """A converter for files whose content is their text already: an item for each line that is not blank; a blank file fails."""
+    lines = [line.strip() for line in content.decode("utf-8", "replace").splitlines()]
+    found = [{"label": "text", "page": 1, "text": line} for line in lines if line]
+    return ("success" if found else "failure"), found
+
+
+#: Converters by name, as a configuration can name them (``.pdf=text_layer``, or ``.pdf=package.module:function``).
+CONVERTERS: dict[str, Converter] = {"text_layer": text_layer}
+
+
+def converter(name: str) -> Converter:
+    """A converter by its name in ``CONVERTERS``, or by module and function."""
+    if name in CONVERTERS:
+        return CONVERTERS[name]
+    module, _, function = name.partition(":")
+    if not function:
+        raise ValueError(f"unknown converter: {name}")
+    return getattr(importlib.import_module(module), function)
+
+
 def doc_id(path: Column) -> Column:
     """The id of a path."""
     return F.sha1(path)
@@ -59,6 +81,8 @@ def converted(files: DataFrame, converters: dict[str, Converter]) -> DataFrame:
                 try:
                     if suffix not in converters:
                         raise LookupError(f"no converter for {suffix}")
+                    if content is None:
+                        raise ValueError("no content")
                     status, items = converters[suffix](bytes(content))
                     if not status.lower().endswith("success"):
                         raise RuntimeError(f"conversion ended as {status}")

@@ -48,6 +48,26 @@ def test_lone_boxes_children_and_links(spark):
     }
 
 
+def test_types_are_shared_by_in_degree(spark):
+    """One type below several owners has a table, though it is never in a list; one that differs, or has one owner, is inlined."""
+    record = {"left": {"author": {"name": "Ann", "born": 1900}}, "right": {"author": {"name": "Bob", "born": None}, "place": {"name": "x"}}, "other": {"author": "Cid", "place": {"street": "y"}}}
+    df = spark.createDataFrame([(0, json.dumps(record)), (1, json.dumps(record))], "line_no bigint, line string")
+    inlining = flatten.shared_inlining(flatten.schema_graph(df))
+    assert not inlining.relations and inlining.shared == {"record.left.author": "author", "record.right.author": "author"}
+    rows = flatten.shred(df, inlining).collect()
+    authors = {(r.record, r.parent_relation, r.parent_node, r.map_key, r.fields["name"]) for r in rows if r.relation == "author"}
+    assert authors == {(n, "record", 0, key, name) for n in (0, 1) for key, name in (("left.author", "Ann"), ("right.author", "Bob"))}
+    (top,) = (r.fields for r in rows if r.relation == "record" and r.record == 0)
+    assert top == {"right.place.name": "x", "other.author": "Cid", "other.place.street": "y"}
+
+
+def test_titles_of_layouts_that_share_metadata(spark):
+    records = [{"doc_id": "a", "metadata": {"title": "A"}}, {"document": {"doc_id": "b", "metadata": {"title": "B"}}}, {"doc_id": "c"}]
+    inlining, got = tables(spark, records)
+    assert set(inlining.shared.values()) == {"metadata"}
+    assert {(r.record, r.doc_id, r.title) for r in got["records"].collect()} == {(0, "a", "A"), (1, "b", "B"), (2, "c", None)}
+
+
 def test_a_list_between_owner_and_owned(spark):
     record = {"doc_id": "d", "elements": [{"element_id": A, "metadata": [{"bboxes": [{"l": 1, "t": 1, "r": 1, "b": 1}]}]}]}
     assert found(spark, [record]) == {(0, "element", A, "d"), (0, "bbox", f"{A}#0", A)}

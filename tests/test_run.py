@@ -43,7 +43,14 @@ def test_parse_and_index_twice(spark, tmp_path):
     assert doc["metadata"]["title"] == "Bitcoin Whitepaper" and doc["metadata"]["topic"] == "crypto-papers" and doc["metadata"]["year"] == 2017
     assert {e["element_type"] for e in doc["elements"]} == {"title", "section_heading", "paragraph", "table", "figure_caption", "equation", "references"}
     assert {c["chunk_type"] for c in doc["child_nodes"]} == {"text", "table", "figure"}
-    (entry,) = read_json(tmp_path / "manifest")
+    (entry,) = read_json(tmp_path / "manifest/documents")
+    (header,) = read_json(tmp_path / "manifest/header")
+    assert (header["document_count"], header["total_characters"], header["source_dir"]) == (1, len(doc["text"]), parse.source_dir) and header["generated_at_utc"].endswith("+00:00")
+    (first, *_), (parent, *_), (child, *_) = doc["elements"], doc["parent_nodes"], doc["child_nodes"]
+    assert set(first) == {"element_id", "element_type", "text", "page", "order", "section_path", "metadata"} and set(first["metadata"]) == {"bboxes", "rows"} and first["order"] == 1
+    assert set(parent) == {"parent_id", "doc_id", "section_path", "page_start", "page_end", "text", "metadata"} and parent["metadata"]["paper_title"] == "Bitcoin Whitepaper" and parent["metadata"]["chunk_level"] == "parent"
+    assert set(child) == {"child_id", "parent_id", "doc_id", "chunk_level", "chunk_type", "section_path", "page_start", "page_end", "text", "metadata"} and child["metadata"]["chunk_index"] == 1
+    assert [c["chunk_type"] != "text" for c in doc["child_nodes"]] == sorted(c["chunk_type"] != "text" for c in doc["child_nodes"])
     assert entry["text_preview"].endswith("...") and entry["index"] == 1
     n = len(doc["child_nodes"])
     assert run.index_documents(spark, index) == {"upserted": n, "skipped": 0, "deleted": 0}
@@ -76,7 +83,7 @@ def test_points_carry_their_whole_payload(spark, tmp_path):
     run.parse_folder(spark, parse)
     run.index_documents(spark, index)
     (doc,) = read_json(tmp_path / "docs")
-    sections = {p["parent_id"]: p["section"] for p in doc["parent_nodes"]}
+    sections = {p["parent_id"]: p["metadata"]["section"] for p in doc["parent_nodes"]}
     payloads = [r.payload.asDict() for r in run.jsonl.Snapshots(spark, index.vector_dir, run.VECTORS).read().collect()]
     assert len(payloads) == len(doc["child_nodes"])
     for p in payloads:
@@ -84,7 +91,7 @@ def test_points_carry_their_whole_payload(spark, tmp_path):
         assert p["authors"] == doc["metadata"]["authors"] and p["section"] == sections[p["parent_id"]]
     by = {p["chunk_type"]: p for p in payloads}
     assert by["table"]["table_rows"] == [["a", "b", "c"], ["1", "2", "3"]] and by["text"]["chunk_index"] == 1
-    assert by["figure"]["figure_context"] == next(c["figure_context"] for c in doc["child_nodes"] if c["chunk_type"] == "figure")
+    assert by["figure"]["figure_context"] == next(c["metadata"]["figure_context"] for c in doc["child_nodes"] if c["chunk_type"] == "figure")
 
 
 def test_metadata_of_a_chunk_overrides_the_base_keys(spark, tmp_path):
@@ -101,6 +108,36 @@ def test_metadata_of_a_chunk_overrides_the_base_keys(spark, tmp_path):
     assert tuple(rows[2][k] for k in keys) == ("Base", "Parent's", None, 2000, ["Ann"], "Paper")
 
 
+def test_state_survives_and_collections_keep_their_properties(spark, tmp_path):
+    store = run.jsonl.Snapshots(spark, str(tmp_path / "s"), "a int")
+    assert store.read().count() == 0
+    versions = [store.write(spark.createDataFrame([(n,)], "a int")) for n in range(4)]
+    assert [r.a for r in store.read().collect()] == [3]
+    assert [(tmp_path / "s" / v).exists() for v in versions] == [False, False, True, True]
+    # A version without a pointer, as a crash leaves it, doesn't count.
+    spark.createDataFrame([(9,)], "a int").write.parquet(str(tmp_path / "s/v-x"))
+    assert [r.a for r in store.read().collect()] == [3]
+    _, index = configs(tmp_path)
+    run._collection(spark, index)
+    run._collection(spark, index)
+    with pytest.raises(ValueError, match="size 16"):
+        run._collection(spark, IndexConfig(**{**index.__dict__, "vector_size": 8}))
+    run._collection(spark, IndexConfig(**{**index.__dict__, "vector_size": 8, "recreate": True}))
+    with pytest.raises(ValueError, match="size 8"):
+        run._collection(spark, index)
+
+
+def test_a_point_with_two_texts_is_refused(spark, tmp_path):
+    child = {"child_id": "c", "doc_id": "d", "chunk_type": "text", "text": "one"}
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs/a.json").write_text(json.dumps({"doc_id": "d", "child_nodes": [child, child, child | {"text": "\t \n"}]}))
+    _, index = configs(tmp_path)
+    assert run.index_documents(spark, index) == {"upserted": 1, "skipped": 1, "deleted": 0}
+    (tmp_path / "docs/a.json").write_text(json.dumps({"doc_id": "d", "child_nodes": [child, child | {"text": "two"}]}))
+    with pytest.raises(ValueError, match="different chunks"):
+        run.index_documents(spark, index)
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.yaml"
     path.write_text("parse:\n  source_dir: a\n  output_jsonl: b\n  output_manifest: c\n  state_dir: d\n  min_characters: 9\n  skip_unchanged: 'false'\n")
