@@ -79,6 +79,15 @@ def p6_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p6_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document's tokens with their offsets: how many, how many begin inside a character, and the bytes and characters up to the last one's end."""
+    docs = table(spark, sf_dir, "documents")
+    tokens = tokenise.encode_with_offsets(docs)
+    inside = F.filter(F.sequence(F.lit(1), F.greatest(F.size("tokens") - 1, F.lit(1))), lambda i: F.get("tokens", i)["char_start"] < F.get("tokens", i - 1)["char_end"])
+    last = F.try_element_at("tokens", F.lit(-1))
+    return tokens.select("doc_id", F.size("tokens").alias("n_tokens"), F.size(inside).alias("n_split"), F.coalesce(last["byte_end"], F.lit(0)).alias("n_bytes"), F.coalesce(last["char_end"], F.lit(0)).alias("n_chars"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the evaluation items that leaked into them."""
     return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
@@ -113,11 +122,18 @@ def p8_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abuse.agreement(abuse.scores(table(spark, sf_dir, "documents")), table(spark, sf_dir, "review_labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_restored, p1_pairs, p3_found, p3_paragraphs, p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p7_found, p7_coverage, p8_found, p8_scores, p8_rates, p8_review)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_restored, p1_pairs, p3_found, p3_paragraphs, p4_found, p4_pieces, p5_found, p5_groups, p6_ids, p6_roundtrip, p6_offsets, p7_found, p7_coverage, p8_found, p8_scores, p8_rates, p8_review)}
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
 
+_RUNS = "unnest(range(1, len(w) - n + 2)) AS k, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k : k + n - 1], ' '))) AS g"
+_LEAKS = f"""d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+i AS (SELECT item_id, w, least(12, len(w)) AS n FROM (SELECT item_id, {_WORDS.replace('text', 'prompt')} AS w FROM eval_items WHERE prompt IS NOT NULL AND item_id IS NOT NULL) WHERE len(w) > 0),
+sought AS (SELECT DISTINCT item_id, len(w) AS n_words, n, {_RUNS} FROM i),
+lengths AS (SELECT DISTINCT n FROM i),
+runs AS (SELECT DISTINCT doc_id, n, g FROM (SELECT doc_id, n, {_RUNS} FROM d JOIN lengths ON len(w) >= n))"""
+
 SQL: dict[str, str] = {
     "p4_found": rf"""
 WITH items AS (
@@ -136,11 +152,9 @@ grams AS (SELECT DISTINCT t, doc_id, g FROM (SELECT t, doc_id, unnest(list_trans
 sizes AS (SELECT t, count(*) AS n FROM grams GROUP BY t),
 common AS (SELECT a.t AS ta, b.t AS tb, a.doc_id AS da, b.doc_id AS db, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
 SELECT DISTINCT da AS doc_a, db AS doc_b FROM common JOIN sizes x ON x.t = ta JOIN sizes y ON y.t = tb WHERE 5 * c >= 3 * (x.n + y.n - c)""",
-    "p7_found": f"""
-WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
-i AS (SELECT item_id, w, least(12, len(w)) AS n FROM (SELECT item_id, {_WORDS.replace('text', 'prompt')} AS w FROM eval_items WHERE prompt IS NOT NULL) WHERE len(w) > 0),
-sought AS (SELECT DISTINCT item_id, n, g FROM (SELECT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k : k + n - 1], ' '))) AS g FROM i)),
-lengths AS (SELECT DISTINCT n FROM i),
-runs AS (SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k : k + n - 1], ' '))) AS g FROM d JOIN lengths ON len(w) >= n)
-SELECT DISTINCT doc_id, item_id FROM runs JOIN sought USING (n, g)""",
+    "p7_found": f"WITH {_LEAKS} SELECT DISTINCT doc_id, item_id FROM runs JOIN sought USING (n, g)",
+    "p7_coverage": f"""
+WITH {_LEAKS}
+SELECT doc_id, item_id, CAST(max(n_words) AS INTEGER) AS n_words, CAST(count(DISTINCT place) AS INTEGER) AS n_shared
+FROM (SELECT DISTINCT doc_id, item_id, n_words, unnest(range(k, k + n)) AS place FROM runs JOIN sought USING (n, g)) GROUP BY 1, 2""",
 }

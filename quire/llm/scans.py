@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.sieve import Sieve, hash_of, sieve
@@ -434,13 +434,16 @@ def _cased(like: str, word: str) -> str:
 
 def repaired(text: str, element_type: str | None, fixes: list[dict]) -> str:
     """The text without its header and page number, with words made whole and, but in tables, without line ends."""
+    if not fixes and "\n" not in text:
+        return text if element_type == "table" else text.strip()
     by: dict[str, list[dict]] = {}
     for fix in fixes:
         by.setdefault(fix["kind"], []).append(fix)
     cut = {int(f["a"]) for f in by.get("line", [])}
     text = "\n".join(line for at, line in enumerate(text.split("\n")) if at not in cut)
     divided = {(f["a"], f["b"]) for f in by.get("H", [])}
-    text = _DIVIDED.sub(lambda m: m[1] + ("" if (m[1], m[3]) in divided else "-") + m[3], text)
+    if _LINE_HYPHEN.search(text):
+        text = _DIVIDED.sub(lambda m: m[1] + ("" if (m[1], m[3]) in divided else "-") + m[3], text)
     if "D" in by:
         text = _UNENDED.sub(r"\1", text)
     words = {f["a"]: f["b"] for f in by.get("T", [])}
@@ -499,10 +502,13 @@ def clean_paragraphs(elements: DataFrame) -> DataFrame:
     )
     texts = elements.select("doc_id", F.col("ord").cast("int").alias("ord"), "element_id", F.lit(_TEXT).alias("kind"), F.col("element_type").alias("a"), none.alias("b"), "text").where("doc_id is not null and element_id is not null and ord is not null and text is not null")
     placed = texts.unionByName(fixes.distinct().withColumn("text", none)).withColumn("__block", F.floor(F.col("ord") / BLOCK)).repartition("doc_id", "__block")
-    clean = placed.sortWithinPartitions("doc_id", "ord", "element_id", "kind", "a", "text").drop("__block").mapInArrow(_mended, _CLEAN)
+    mended = lambda rows: rows.sortWithinPartitions("doc_id", "ord", "element_id", "kind", "a", "text").select("doc_id", "ord", "element_id", "kind", "a", "b", "text").mapInArrow(_mended, _CLEAN)
     linked = F.col("element_type").isin("paragraph", "references") & (F.col("continues") | F.col("goes_on"))
-    alone = clean.where(~F.coalesce(linked, F.lit(False))).select("doc_id", "ord", "element_type", "text")
-    numbered = scan(in_blocks(clean.where(linked), "doc_id", "ord"), "doc_id", "ord", sums={"part": (~F.col("continues")).cast("int")})
+    alone = mended(placed).where(~F.coalesce(linked, F.lit(False))).select("doc_id", "ord", "element_type", "text")
+    # The few linked texts are told by their fixes before they are mended.
+    bound = F.max(F.col("kind").isin("from", "to")).over(Window.partitionBy("doc_id", "__block", "ord", "element_id"))
+    chained = mended(placed.withColumn("__bound", bound).where("__bound")).where(linked)
+    numbered = scan(in_blocks(chained, "doc_id", "ord"), "doc_id", "ord", sums={"part": (~F.col("continues")).cast("int")})
     parts = F.array_sort(F.collect_list(F.struct("ord", "text")))
     whole = numbered.groupBy("doc_id", "part").agg(F.min("ord").alias("ord"), F.min_by("element_type", "ord").alias("element_type"), F.array_join(F.transform(parts, lambda e: e["text"]), "").alias("text"))
     return alone.unionByName(whole.select("doc_id", "ord", "element_type", "text"))

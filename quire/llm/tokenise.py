@@ -27,6 +27,7 @@ TOKENIZER_DIR = "/opt/tokenizers"
 #: Code points that are encoded at a time, to bound a worker's memory.
 CHARS_AT_A_TIME = 2_000_000
 ROWS_AT_A_TIME = 5_000
+_BEHIND = re.compile(r"\S ")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 _ENCODED = T.ArrayType(T.IntegerType(), False)
@@ -75,11 +76,19 @@ def tokenizer_path(name: str, folder: str = TOKENIZER_DIR) -> str:
     return name if os.sep in name else f"{folder}/{name}.json"
 
 
+@functools.cache
+def cuts_at_spaces(path: str) -> bool:
+    """Whether texts may be cut at a space between two other characters: no token goes on behind such a space, and nothing rewrites texts first."""
+    tokenizer, known = _tokenizer(path), _token_bytes(path)
+    whole = tokenizer.normalizer is None and len(known) == tokenizer.get_vocab_size(with_added_tokens=False)
+    return whole and not any(_BEHIND.search(token.decode("utf-8", "replace")) for token in known.values() if b" " in token[1:])
+
+
 class _Chunks(dict):
     """Text between single spaces -> its ids as bytes; emptied when full, so a worker's memory stays bounded.
 
-    The vocabulary's pattern never joins what lies on both sides of a space between two other characters, but for
-    that space itself, which goes to the right. Texts are therefore cut there, and each chunk is encoded once.
+    Vocabularies for which :func:`cuts_at_spaces` holds never join what lies on both sides of a space between two other characters, but for
+    that space itself, which goes to the right. Texts are cut there, and each chunk is encoded once. Texts of other vocabularies stay whole.
     """
 
     LIMIT = 500_000
@@ -109,6 +118,10 @@ def _cut(text: str) -> list[str]:
 
 def _id_lists(path: str, texts: list[str]) -> Iterator[np.ndarray]:
     """The ids of each text."""
+    if not cuts_at_spaces(path):
+        for text in texts:
+            yield np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, np.int32)
+        return
     known, at = _chunks(path), 0
     while at < len(texts):
         cut, size = [], 0

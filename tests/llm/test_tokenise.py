@@ -55,3 +55,22 @@ def test_unknown_ids_fail(spark):
     df = spark.createDataFrame([(1, [999_999])], "doc_id bigint, ids array<int>")
     with pytest.raises(Exception, match="999999"):
         tokenise.decode(df).collect()
+
+
+def test_vocabularies_that_join_over_spaces_get_whole_texts(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    table = {b: c for c, b in tokenise.byte_table().items()}
+    vocab = {c: i for i, c in enumerate(table.values())} | {f"a{table[32]}": 256, f"a{table[32]}b": 257}
+    joined = Tokenizer(models.BPE(vocab=vocab, merges=[("a", table[32]), (f"a{table[32]}", "b")]))
+    joined.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    path = str(tmp_path / "joined.json")
+    joined.save(path)
+    assert not tokenise.cuts_at_spaces(path)
+    df = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id bigint, text string")
+    ids = {r.doc_id: r.ids for r in tokenise.encode(df, tokenizer=path).collect()}
+    assert ids == {1: joined.encode("a b c").ids, 2: []} and 257 in ids[1]
+
+
+def test_the_public_vocabulary_is_cut_at_spaces():
+    assert tokenise.cuts_at_spaces(tokenise.tokenizer_path("byte_bpe_50k"))
