@@ -12,7 +12,7 @@ def _parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="quire")
     commands = top.add_subparsers(dest="command", required=True)
     parse = commands.add_parser("parse", help="turn a folder into documents, manifest and state")
-    for name in ("source-dir", "output-jsonl", "output-manifest", "state-dir", "log-dir", "log-level"):
+    for name in ("source-dir", "output-jsonl", "output-manifest", "state-dir", "log-dir", "log-level", "excluded", "converters"):
         parse.add_argument(f"--{name}")
     for name in ("preview-characters", "min-characters", "max-files", "chunk-size", "chunk-overlap"):
         parse.add_argument(f"--{name}", type=int)
@@ -25,7 +25,9 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("recreate", "delete-missing-docs"):
         index.add_argument(f"--{name}", action="store_true", default=None)
     audit = commands.add_parser("audit", help="write frames and labels of a repeatable sample")
-    audit.add_argument("--elements", required=True)
+    source = audit.add_mutually_exclusive_group(required=True)
+    source.add_argument("--input-jsonl", help="parsed documents")
+    source.add_argument("--elements", help="a parquet table of elements")
     audit.add_argument("--count", type=int, required=True)
     audit.add_argument("--output-dir", required=True)
     audit.add_argument("--seed", type=int, default=0)
@@ -37,7 +39,9 @@ def _parser() -> argparse.ArgumentParser:
 def _audit(spark, args: argparse.Namespace) -> dict[str, int]:
     from quire.operators import audit
 
-    elements = spark.read.parquet(args.elements)
+    from quire.plans import run
+
+    elements = run.audit_elements(spark, args.input_jsonl) if args.input_jsonl else spark.read.parquet(args.elements)
     indexed = audit.numbered(elements)
     framed = audit.frames(indexed)
     documents = framed.select("doc_id").distinct()
@@ -47,7 +51,7 @@ def _audit(spark, args: argparse.Namespace) -> dict[str, int]:
     sample = audit.seeded_sample(documents, args.count, args.seed)
     labelled = audit.with_rect(audit.labels(framed, audit.chain(indexed))).join(sample, "doc_id")
     labelled.write.mode("overwrite").parquet(f"{args.output_dir}/frames")
-    audit.legend(framed).join(sample.select("doc_id"), "doc_id", "left_semi").write.mode("overwrite").parquet(f"{args.output_dir}/legend")
+    audit.legend_boxes(audit.legend(framed)).join(sample.select("doc_id"), "doc_id", "left_semi").write.mode("overwrite").parquet(f"{args.output_dir}/legend")
     return {"documents": args.count}
 
 

@@ -9,6 +9,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, fields
 from pathlib import Path
 
+#: Directories that no listing enters unless told otherwise.
+EXCLUDED = (".git", ".venv", "__pycache__", "node_modules")
 DISTANCES = ("cosine", "dot", "euclid", "manhattan")
 
 
@@ -28,6 +30,19 @@ class ParseConfig:
     skip_unchanged: bool = True
     chunk_size: int = 800
     chunk_overlap: int = 120
+    #: Names of directories that are never entered, by commas; the usual ones if empty.
+    excluded: str = ""
+    #: ``.suffix=name`` by commas, see ``quire.sources.parse.converter``.
+    converters: str = ""
+
+    def excluded_names(self) -> tuple[str, ...]:
+        """The directories that are never entered."""
+        return tuple(n.strip() for n in self.excluded.split(",") if n.strip()) or EXCLUDED
+
+    def named_converters(self) -> dict[str, str]:
+        """Converter names by lower-case suffix."""
+        pairs = (p.split("=", 1) for p in self.converters.split(",") if p.strip())
+        return {suffix.strip().lower(): name.strip() for suffix, name in pairs}
 
 
 @dataclass(frozen=True)

@@ -111,6 +111,22 @@ def legend(framed: DataFrame) -> DataFrame:
     return seen.withColumn("rank", type_rank(F.col("element_type"))).withColumn("position", F.row_number().over(order)).select("doc_id", "position", "element_type", type_colour(F.col("element_type")).alias("colour"))
 
 
+#: The legend's measures in points, its heading and the heading's colour.
+MARGIN, LEGEND_WIDTH, LEGEND_SHARE, HEADING_HEIGHT, ROW_HEIGHT, GAP = 12.0, (170.0, 260.0), 0.32, 14.0, 12.0, 2.0
+HEADING, HEADING_COLOUR = "Label Colors (Hierarchy)", "111827"
+
+
+def legend_boxes(items: DataFrame, width: float = PAGE[0], height: float = PAGE[1]) -> DataFrame:
+    """``legend`` laid out in the upper right corner of a page: text and x0, y0, x1, y1 of each entry, below a heading at position 0."""
+    right, top = width - MARGIN, height - MARGIN
+    left = max(MARGIN, right - min(LEGEND_WIDTH[1], max(LEGEND_WIDTH[0], width * LEGEND_SHARE)))
+    upper = F.lit(top - HEADING_HEIGHT - GAP) - (F.col("position") - 1) * ROW_HEIGHT
+    text = F.concat(F.format_string("H%02d ", type_rank(F.col("element_type"))), "element_type")
+    rows = items.select("doc_id", "position", text.alias("text"), "colour", (upper - ROW_HEIGHT + GAP).alias("y0"), upper.alias("y1"))
+    head = items.select("doc_id").distinct().select("doc_id", F.lit(0).alias("position"), F.lit(HEADING).alias("text"), F.lit(HEADING_COLOUR).alias("colour"), F.lit(top - HEADING_HEIGHT).alias("y0"), F.lit(top).alias("y1"))
+    return rows.unionByName(head).withColumns({"x0": F.lit(left), "x1": F.lit(right)})
+
+
 def seeded_sample(rows: DataFrame, n: int, seed: int, id_col: str = "doc_id") -> DataFrame:
     """``n`` rows without replacement, the same for the same seed: those of the least keyed hash; ``output`` numbers them."""
     from pyspark.sql import Window

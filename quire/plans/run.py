@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,11 +70,13 @@ def parse_folder(spark: SparkSession, config: ParseConfig, converters: dict[str,
     """Parse what is new or changed; the run's counters."""
     snapshots = jsonl.Snapshots(spark, config.state_dir, INGEST_STATE)
     before = snapshots.read()
-    listed = source_files.discover(spark, config.source_dir, max_files=config.max_files)
+    listed = source_files.discover(spark, config.source_dir, max_files=config.max_files, excluded=config.excluded_names())
     listed = listed.withColumn("fingerprint", F.sha2("content", 256)).withColumn("doc_id", parse.doc_id(F.col("relative_path")))
     decided = checkpointed(state.file_decisions(listed, before))
     todo = decided.where("decision <> 'unchanged'") if config.skip_unchanged else decided
-    items, failed = parse.items(todo, converters)
+    items, failed = parse.items(todo, converters or {suffix: parse.converter(name) for suffix, name in config.named_converters().items()})
+    # Written once, as conversion is dear and its items are read several times.
+    items = checkpointed(items)
     failed = checkpointed(failed)
     merged = merge_adjacent(elements_of(items))
     texts = merged.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda e: e["text"]), "\n").alias("text"))
@@ -94,6 +99,25 @@ def parse_folder(spark: SparkSession, config: ParseConfig, converters: dict[str,
     return {"discovered": decided.count(), "skipped": decided.where("decision = 'unchanged'").count() if config.skip_unchanged else 0, "parsed": documents.count(), "failed": failed.count()}
 
 
+#: What an audit reads of parsed documents.
+_AUDITED = "doc_id string, metadata struct<source_path:string>, elements array<struct<element_id:string,element_type:string,text:string,page:int,order:int,metadata:struct<bboxes:array<struct<page:int,l:double,t:double,r:double,b:double,origin:string>>>>>"
+
+
+def audit_elements(spark: SparkSession, path: str) -> DataFrame:
+    """The elements of the parsed PDF documents whose source is still there and that have boxes; lines that cannot be read are left out."""
+    from pyspark.sql import types as T
+
+    @F.pandas_udf("boolean")
+    def there(paths: pd.Series) -> pd.Series:
+        return paths.map(lambda p: bool(p) and os.path.isfile(p))
+
+    documents, _ = jsonl.read_lenient(spark, path, T.StructType.fromDDL(_AUDITED))
+    source = F.col("metadata.source_path")
+    boxed = F.exists("elements", lambda e: F.coalesce(F.size(e["metadata"]["bboxes"]), F.lit(0)) > 0)
+    kept = documents.where(F.col("doc_id").isNotNull() & F.lower(source).endswith(".pdf") & boxed).where(there(source))
+    return kept.select("doc_id", F.explode("elements").alias("e")).select("doc_id", "e.element_id", "e.element_type", "e.text", F.col("e.order").alias("ord"), "e.metadata.bboxes")
+
+
 def _client(config: IndexConfig):
     if config.embedding_provider == "hash":
         return lambda: embed.HashEmbedder(config.vector_size)

@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from quire.config import EXCLUDED
 from quire.functions.text import file_name, suffix
 
 EXTENSIONS = (".md", ".pdf", ".txt")
-EXCLUDED = (".git", ".venv", "__pycache__", "node_modules")
 
 
 def _wanted(path: Path, extensions: tuple[str, ...]) -> bool:

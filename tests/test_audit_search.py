@@ -1,5 +1,7 @@
 """Audit geometry and exact search on literal cases."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +50,24 @@ def test_sample(spark):
         audit.seeded_sample(df, 0, 1)
 
 
+def test_legend_layout(spark):
+    items = spark.createDataFrame([("d", 1, "title", "b51f1f"), ("d", 2, "table", "1d4ed8")], "doc_id string, position int, element_type string, colour string")
+    got = {r.position: (r.text, r.x0, r.y0, r.x1, r.y1) for r in audit.legend_boxes(items, 600.0, 800.0).collect()}
+    assert got == {0: ("Label Colors (Hierarchy)", 396.0, 774.0, 588.0, 788.0), 1: ("H01 title", 396.0, 762.0, 588.0, 772.0), 2: ("H04 table", 396.0, 750.0, 588.0, 760.0)}
+
+
+def test_audit_reads_parsed_documents(spark, tmp_path):
+    from quire.plans import run
+
+    (tmp_path / "a.pdf").write_bytes(b"x")
+    box = {"page": 1, "l": 0.1, "t": 0.1, "r": 0.2, "b": 0.2, "origin": "top"}
+    doc = lambda name, path, boxes: json.dumps({"doc_id": name, "metadata": {"source_path": str(tmp_path / path)}, "elements": [{"element_id": f"{name}1", "element_type": "table", "text": "x", "order": 1, "metadata": {"bboxes": boxes}}]})
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs/a.json").write_text("\n".join([doc("a", "a.pdf", [box]), doc("gone", "b.pdf", [box]), doc("bare", "a.pdf", []), doc("text", "a.md", [box]), "{broken", "", "[1]"]))
+    elements = run.audit_elements(spark, str(tmp_path / "docs"))
+    assert [(r.doc_id, r.element_index, r.page) for r in audit.frames(audit.numbered(elements)).collect()] == [("a", 1, 1)]
+
+
 @pytest.mark.parametrize("distance", ["cosine", "dot", "euclid", "manhattan"])
 def test_nearest_equals_brute_force(spark, distance, monkeypatch):
     monkeypatch.setattr(search, "BLOCK", 7)

@@ -60,10 +60,24 @@ def fold(items):
     return out
 
 
+def test_one_document_of_200_000_items_is_no_task_of_its_own(spark):
+    n, i = 200_000, F.col("id")
+    head = i % 50 == 0
+    items = spark.range(n).select(
+        F.lit("d").alias("doc_id"), i.alias("seq"), F.when(head, "section_header").otherwise("text").alias("label"), F.when(head, (1 + i / 50 % 2).cast("int")).alias("level"),
+        F.lit(None).cast("int").alias("page"), F.when(i % 1000 == 7, " ").otherwise(F.concat(F.lit("t"), i.cast("string"))).alias("text"),
+    )
+    out = el.sectioned_items(items)
+    last = F.concat(F.lit("t"), (i - i % 50).cast("string"))
+    got = out.withColumn("id", F.col("seq")).agg(F.count("*").alias("n"), F.max("ord").alias("most"), F.count_if(F.element_at("section_path", -1) == last).alias("right"), F.count_distinct(F.spark_partition_id()).alias("tasks")).first()
+    assert (got.n, got.most, got.right) == (n - 200, n - 200, n - 200) and got.tasks > 1
+    assert out.where("seq = 77").first().section_path == ["t0", "t50"]
+
+
 def test_section_paths_equal_the_fold(spark):
     rng, rows, expected = random.Random(3), [], {}
     for doc in range(60):
-        items = [("section_header", rng.choice([0, 1, 1, 2, 2, 3, 4]), f"h{i}") if rng.random() < 0.5 else ("text", None, f"t{i}") for i in range(rng.randint(1, 14))]
+        items = [("section_header", rng.choice([0, 1, 1, 2, 2, 3, 4, 9]), f"h{i}") if rng.random() < 0.5 else ("text", None, f"t{i}") for i in range(rng.randint(1, 14))]
         expected |= {(f"d{doc}", i + 1): p for i, p in enumerate(fold(items))}
         rows += [(f"d{doc}", i + 1, i + 1, *item) for i, item in enumerate(items)]
     df = spark.createDataFrame(rows, "doc_id string, seq int, ord int, label string, level int, text string")

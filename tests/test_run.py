@@ -159,6 +159,18 @@ def test_config(tmp_path):
         IndexConfig("a", "b", "c", "d", "e", embedding_provider="local")
 
 
+def test_named_converters_and_excluded_directories(spark, tmp_path):
+    (tmp_path / "in/skip").mkdir(parents=True)
+    (tmp_path / "in/a.pdf").write_text("A page of text that is long enough to be kept by the filter.")
+    (tmp_path / "in/skip/b.md").write_text("Another text that would be long enough to be kept by the filter.")
+    parse, _ = configs(tmp_path)
+    config = ParseConfig(**{**parse.__dict__, "excluded": "skip, other", "converters": ".pdf=text_layer"})
+    assert run.parse_folder(spark, config) == {"discovered": 1, "skipped": 0, "parsed": 1, "failed": 0}
+    with pytest.raises(ValueError, match="unknown converter"):
+        run.parse.converter("nothing")
+    assert run.parse.converter("quire.sources.parse:text_layer") is run.parse.text_layer
+
+
 def test_command_line_arguments():
     args = cli._parser().parse_args(["parse", "--source-dir", "x", "--max-files", "3", "--no-skip-unchanged"])
     assert (args.source_dir, args.max_files, args.skip_unchanged) == ("x", 3, False)
