@@ -67,9 +67,12 @@ def test_one_document_of_200_000_items_is_no_task_of_its_own(spark):
         F.lit("d").alias("doc_id"), i.alias("seq"), F.when(head, "section_header").otherwise("text").alias("label"), F.when(head, (1 + i / 50 % 2).cast("int")).alias("level"),
         F.lit(None).cast("int").alias("page"), F.when(i % 1000 == 7, " ").otherwise(F.concat(F.lit("t"), i.cast("string"))).alias("text"),
     )
+    # Partitions of a few megabytes would be read by one task.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     out = el.sectioned_items(items)
     last = F.concat(F.lit("t"), (i - i % 50).cast("string"))
     got = out.withColumns({"id": F.col("seq"), "task": F.spark_partition_id()}).agg(F.count("*").alias("n"), F.max("ord").alias("most"), F.count_if(F.element_at("section_path", -1) == last).alias("right"), F.count_distinct("task").alias("tasks")).first()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert (got.n, got.most, got.right) == (n - 200, n - 200, n - 200) and got.tasks > 1
     assert out.where("seq = 77").first().section_path == ["t0", "t50"]
 
