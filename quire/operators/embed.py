@@ -101,6 +101,9 @@ class HttpEmbedder:
                 self.form[many] = form
                 return vectors
             self.form.pop(many, None)
+            if many and len(vectors) == 1:
+                # A service that answers several texts with one vector takes them one by one.
+                return None
         if failure and not many:
             raise failure
         return None

@@ -70,8 +70,8 @@ def conversion_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unparsed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that give no items, with the reason; the others are parsed."""
-    return parse.items(_files(spark, sf_dir), _CONVERTERS)[1]
+    """Files that give no items where no converter is named, with the reason; the others are parsed."""
+    return parse.items(_files(spark, sf_dir))[1]
 
 
 QUERIES = {f.__name__: f for f in (item_text, drop_empty_items, is_figure_caption, is_equation, is_table, classify_text, in_references, conversion_ok, unparsed_files)}
@@ -95,5 +95,6 @@ SQL = {
 FROM sectioned WHERE in_references""",
     "conversion_ok": f"""WITH {FILES}, {_ENDED}
 SELECT relative_path, sha1(relative_path) AS doc_id, error IS NULL AS ok, error, CAST(CASE WHEN error IS NULL THEN n ELSE 0 END AS INTEGER) AS n_items FROM ended WHERE ext NOT IN ('.md', '.txt')""",
-    "unparsed_files": f"WITH {FILES}, {_ENDED} SELECT relative_path, error FROM ended WHERE error IS NOT NULL",
+    "unparsed_files": f"""WITH {FILES}
+SELECT * FROM (SELECT relative_path, CASE WHEN {_EXT} NOT IN ('.md', '.txt') THEN 'LookupError: no converter for ' || {_EXT} WHEN text IS NULL THEN 'no content' END AS error FROM files) WHERE error IS NOT NULL""",
 }
