@@ -82,7 +82,8 @@ def parse_folder(spark: SparkSession, config: ParseConfig, converters: dict[str,
     texts = merged.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda e: e["text"]), "\n").alias("text"))
     documents = checkpointed(todo.drop("content").join(texts, "doc_id").withColumn("char_count", F.length("text").cast("bigint")).where(F.col("char_count") >= config.min_characters))
     merged = checkpointed(merged.join(documents.select("doc_id"), "doc_id", "left_semi"))
-    parents = nodes.parent_nodes(merged)
+    # Written once, as chunks and look-ups are planned from them several times.
+    parents = checkpointed(nodes.parent_nodes(merged))
     children = nodes.child_nodes(merged, parents, config.chunk_size, config.chunk_overlap)
     looked_at = metadata.light(merged)
     meta = checkpointed(metadata.doc_metadata(documents, looked_at, nodes.counts(looked_at, config.chunk_size, config.chunk_overlap)))
